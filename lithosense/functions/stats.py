@@ -27,9 +27,11 @@ def pooled_std(
     total = F.sum(n)
     spread = std if null_std == "propagate" else F.coalesce(std, F.lit(0.0))
     centre = F.sum(n * mean) / F.nullif(total, F.lit(0))
-    variance = F.sum(n * (spread * spread + mean * mean)) / F.nullif(total, F.lit(0)) - centre * centre
+    square = F.sum(n * (spread * spread + mean * mean)) / F.nullif(total, F.lit(0))
+    variance = square - centre * centre
+    # A difference below the rounding error of its terms is no spread at all.
     out = F.when(F.coalesce(total, F.lit(0)) == 0, F.lit(0.0)).otherwise(
-        F.sqrt(F.greatest(F.lit(0.0), variance))
+        F.when(variance <= square * F.lit(1e-14), F.lit(0.0)).otherwise(F.sqrt(variance))
     )
     if null_std == "propagate":
         return F.when(F.count(std) < F.count(F.lit(1)), F.lit(None).cast("double")).otherwise(out)
