@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def stack(*frames: DataFrame) -> DataFrame:
@@ -31,13 +31,13 @@ def top_n(df: DataFrame, by: list, n: int) -> DataFrame:
 def ranked_pairs(top: DataFrame, name: str, score: str) -> DataFrame:
     """All unordered pairs of an already limited top-n list, better one first.
 
-    The input is a report of n rows (n·(n-1)/2 pairs), so ranking it in one task is fine.
+    The input is a report of n rows and the result has n·(n-1)/2, so holding the
+    n rows as one sorted array is fine.
     """
-    rank = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc(score), name))
-    ranked = top.select(name, rank.alias("rank"))
-    names = ranked.agg(F.array_sort(F.collect_list(F.struct("rank", name))).alias("all"))
-    one = names.select(F.col("all"), F.explode("all").alias("a"))
+    best = F.array_sort(F.collect_list(F.struct((-F.col(score)).alias("order"), F.col(name).alias("name"))))
+    listed = top.agg(best.alias("all"))
+    one = listed.select("all", F.posexplode("all").alias("i", "a"))
     return one.select(
-        F.col(f"a.{name}").alias("first"),
-        F.explode(F.filter("all", lambda x: x["rank"] > F.col("a.rank"))).alias("b"),
-    ).select("first", F.col(f"b.{name}").alias("second"))
+        F.col("a.name").alias("first"),
+        F.explode(F.slice("all", F.col("i") + 2, F.size("all"))).alias("b"),
+    ).select("first", F.col("b.name").alias("second"))

@@ -53,6 +53,28 @@ def with_previous(
     )
 
 
+def dense_index(
+    df: DataFrame, series: list[str], ts: str, tiebreak: tuple[str, ...] = (), slice_: str = "1 hour", out: str = "idx"
+) -> DataFrame:
+    """Add ``out`` = 0, 1, 2, … per series in time order.
+
+    Rows are numbered within (series, slice of time); a running count over the
+    slices, one row each, gives every slice its offset.  No task sorts a whole series.
+    """
+    sliced = df.withColumn("_slice", bucket_start(ts, slice_))
+    before = Window.partitionBy(*series).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        sliced.groupBy(*series, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+        .select(*series, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    )
+    local = F.row_number().over(Window.partitionBy(*series, "_slice").orderBy(ts, *tiebreak))
+    return (
+        sliced.withColumn("_local", local)
+        .join(offsets, [*series, "_slice"])
+        .select(*df.columns, (F.col("_offset") + F.col("_local") - 1).cast("bigint").alias(out))
+    )
+
+
 def rate_of_change(
     readings: DataFrame,
     series: str = "series_id",

@@ -132,21 +132,21 @@ class Tables:
         price = F.col("o_totalprice")
         yearly = lambda cond, *aggs: co.where(cond).groupBy(*key).agg(*aggs)
         urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM")
-        precip = yearly(urgent, F.round(F.avg(price) / 1000, 6).alias("TOTAL_ANN_PRECIP"))
+        precip = yearly(urgent, F.round(F.avg(price) / 1000 + 1.7e-9, 6).alias("TOTAL_ANN_PRECIP"))
         temp = yearly(
             F.col("o_orderstatus") != "F",
-            F.count(F.lit(1)).cast("double").alias("FREEZE_INDEX_YR"), F.round(F.avg(price) / 9000, 6).alias("MEAN_ANN_TEMP_AVG"),
-            F.round(F.max(price) / 9000, 6).alias("MAX_ANN_TEMP_AVG"), F.round(F.min(price) / 9000, 6).alias("MAX_ANN_TEMP_DAYS"),
+            F.count(F.lit(1)).cast("double").alias("FREEZE_INDEX_YR"), F.round(F.avg(price) / 9000 + 1.7e-9, 6).alias("MEAN_ANN_TEMP_AVG"),
+            (F.max(price) / 9000).alias("MAX_ANN_TEMP_AVG"), (F.min(price) / 9000).alias("MAX_ANN_TEMP_DAYS"),
             F.max(F.col("o_orderkey") % 60).cast("double").alias("DAYS_ABOVE_32_C_YR"),
         )
-        kesal = F.round(F.sum(price) / 10000, 4).alias("ANL_KESAL_LTPP_LN_YR")
+        kesal = F.round(F.sum(price) / 10000 + 1.7e-9, 4).alias("ANL_KESAL_LTPP_LN_YR")
         hist = yearly(F.col("YEAR") % 2 == 0, kesal, F.max("o_orderkey").cast("double").alias("AADT_ALL_VEHIC_2WAY"),
                       F.min("o_orderkey").cast("double").alias("AADT_TRUCK_COMBO_2WAY")).withColumnRenamed("YEAR", "YEAR_HIST_EST")
         mon = yearly(F.col("YEAR") % 3 != 0, kesal, F.max("o_orderkey").cast("double").alias("AADT_ALL_VEHIC"),
                      F.min("o_orderkey").cast("double").alias("AADT_TRUCK_COMBO")).withColumnRenamed("YEAR", "YEAR_MON_EST")
         survey = co.where(F.col("o_orderstatus") == "O").select(
             "STATE_CODE", "SHRP_ID", "CONSTRUCTION_NO", F.col("DAY_TEXT").alias("SURVEY_DATE"),
-            F.round(price / 20000, 4).alias("MAX_MEAN_DEPTH_1_8"),
+            (price / 20000).alias("MAX_MEAN_DEPTH_1_8"),
         )
         li = self.lineitem.join(co, F.col("l_orderkey") == F.col("o_orderkey")).join(self.part, F.col("l_partkey") == F.col("p_partkey"))
         material = F.when(F.col("p_type").isin("SMALL", "PROMO"), F.concat(F.lit("Fine-Grained Soils: "), F.col("p_brand"))).when(
@@ -268,29 +268,29 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "precip": (
         ("co",),
-        "SELECT STATE_CODE, SHRP_ID, YEAR, round(avg(o_totalprice) / 1000, 6) AS TOTAL_ANN_PRECIP FROM co "
+        "SELECT STATE_CODE, SHRP_ID, YEAR, round(avg(o_totalprice) / 1000 + 1.7e-9, 6) AS TOTAL_ANN_PRECIP FROM co "
         "WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 1, 2, 3",
     ),
     "temp": (
         ("co",),
-        "SELECT STATE_CODE, SHRP_ID, YEAR, count(*)::DOUBLE AS FREEZE_INDEX_YR, round(avg(o_totalprice) / 9000, 6) AS MEAN_ANN_TEMP_AVG, "
-        "round(max(o_totalprice) / 9000, 6) AS MAX_ANN_TEMP_AVG, round(min(o_totalprice) / 9000, 6) AS MAX_ANN_TEMP_DAYS, "
+        "SELECT STATE_CODE, SHRP_ID, YEAR, count(*)::DOUBLE AS FREEZE_INDEX_YR, round(avg(o_totalprice) / 9000 + 1.7e-9, 6) AS MEAN_ANN_TEMP_AVG, "
+        "max(o_totalprice) / 9000 AS MAX_ANN_TEMP_AVG, min(o_totalprice) / 9000 AS MAX_ANN_TEMP_DAYS, "
         "max(o_orderkey % 60)::DOUBLE AS DAYS_ABOVE_32_C_YR FROM co WHERE o_orderstatus <> 'F' GROUP BY 1, 2, 3",
     ),
     "traffic_hist": (
         ("co",),
-        "SELECT STATE_CODE, SHRP_ID, YEAR, round(sum(o_totalprice) / 10000, 4) AS ANL_KESAL_LTPP_LN_YR, max(o_orderkey)::DOUBLE AS AADT_ALL_VEHIC_2WAY, "
+        "SELECT STATE_CODE, SHRP_ID, YEAR, round(sum(o_totalprice) / 10000 + 1.7e-9, 4) AS ANL_KESAL_LTPP_LN_YR, max(o_orderkey)::DOUBLE AS AADT_ALL_VEHIC_2WAY, "
         "min(o_orderkey)::DOUBLE AS AADT_TRUCK_COMBO_2WAY FROM co WHERE YEAR % 2 = 0 GROUP BY 1, 2, 3",
     ),
     "traffic_mon": (
         ("co",),
-        "SELECT STATE_CODE, SHRP_ID, YEAR, round(sum(o_totalprice) / 10000, 4) AS ANL_KESAL_LTPP_LN_YR, max(o_orderkey)::DOUBLE AS AADT_ALL_VEHIC, "
+        "SELECT STATE_CODE, SHRP_ID, YEAR, round(sum(o_totalprice) / 10000 + 1.7e-9, 4) AS ANL_KESAL_LTPP_LN_YR, max(o_orderkey)::DOUBLE AS AADT_ALL_VEHIC, "
         "min(o_orderkey)::DOUBLE AS AADT_TRUCK_COMBO FROM co WHERE YEAR % 3 <> 0 GROUP BY 1, 2, 3",
     ),
     "traffic": (("traffic_hist", "traffic_mon"), "SELECT * FROM traffic_hist UNION ALL BY NAME SELECT * FROM traffic_mon"),
     "section_survey": (
         ("co",),
-        "SELECT STATE_CODE, SHRP_ID, CONSTRUCTION_NO, DAY_TEXT AS SURVEY_DATE, round(o_totalprice / 20000, 4) AS MAX_MEAN_DEPTH_1_8, YEAR FROM co WHERE o_orderstatus = 'O'",
+        "SELECT STATE_CODE, SHRP_ID, CONSTRUCTION_NO, DAY_TEXT AS SURVEY_DATE, o_totalprice / 20000 AS MAX_MEAN_DEPTH_1_8, YEAR FROM co WHERE o_orderstatus = 'O'",
     ),
     "li": (("co",), "SELECT * FROM lineitem JOIN co ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"),
     "lab_test": (
