@@ -85,7 +85,7 @@ CLIMATE_TRAFFIC_COLUMNS = (
 )
 
 # --- fixed values: published model settings ---------------------------------
-FOREST_SMALL = {"trees": 5, "depth": 22, "features": 8, "leaf": 4}
-FOREST_TUNED = {"trees": 45, "depth": 30, "features": 5, "leaf": 3}
+FOREST_SMALL = {"trees": 5, "depth": 22, "subset": 8, "leaf": 4}
+FOREST_TUNED = {"trees": 45, "depth": 30, "subset": 5, "leaf": 3}
 RATIO_EPSILON = 1e-6
 SEED = 42

@@ -19,21 +19,21 @@ def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataF
 
 
 def forest(
-    label: str, trees: int = 5, depth: int | None = 22, features: int | str = 8, leaf: int = 4,
+    label: str, trees: int = 5, depth: int | None = 22, subset: int | str = 8, leaf: int = 4,
     seed: int = SEED, max_bins: int = 128, features_col: str = "features",
 ) -> RandomForestRegressor:
     """Estimator.  Node statistics are aggregated across tasks in groups that fit
     ``maxMemoryInMB``; node ids are cached so deep trees need no re-walk per level."""
     return RandomForestRegressor(
         featuresCol=features_col, labelCol=label, numTrees=trees, maxDepth=min(depth or MAX_DEPTH, MAX_DEPTH),
-        featureSubsetStrategy=str(features), minInstancesPerNode=leaf, maxBins=max_bins, seed=seed,
+        featureSubsetStrategy=str(subset), minInstancesPerNode=leaf, maxBins=max_bins, seed=seed,
         maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10,
     )
 
 
 def fit_forest(df: DataFrame, features: list[str], label: str, **settings) -> RandomForestRegressionModel:
     conf = {**FOREST_SMALL, **settings}
-    conf["features"] = conf["features"] if isinstance(conf["features"], str) else min(conf["features"], len(features))
+    conf["subset"] = conf["subset"] if isinstance(conf["subset"], str) else min(conf["subset"], len(features))
     return forest(label, **conf).fit(assemble(df, features))
 
 
@@ -45,7 +45,7 @@ def importance(model: RandomForestRegressionModel, features: list[str], spark) -
 
 def interaction_pairs(df: DataFrame, features: list[str], label: str, n: int = 5, trees: int = 100, depth: int | None = None, **kw) -> DataFrame:
     """Pairs of the n most important features of a forest."""
-    model = fit_forest(df, features, label, trees=trees, depth=depth, features="all", leaf=1, **kw)
+    model = fit_forest(df, features, label, trees=trees, depth=depth, subset="all", leaf=1, **kw)
     best = top_n(importance(model, features, df.sparkSession), [F.desc("importance"), F.col("feature")], n)
     return ranked_pairs(best, "feature", "importance")
 

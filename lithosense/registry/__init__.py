@@ -1,10 +1,4 @@
 """Runnable queries by topic.  Importing this package registers all of them."""
 
-import importlib
-
-for _topic in ("rollups", "ingest", "tables", "reports", "sections", "prep", "fits", "streams"):
-    try:
-        importlib.import_module(f"lithosense.registry.{_topic}")
-    except ModuleNotFoundError:
-        pass
-from lithosense.registry.base import ORACLES, QUERIES  # noqa: E402,F401
+from lithosense.registry import fits, ingest, prep, reports, rollups, sections, streams, tables  # noqa: F401
+from lithosense.registry.base import ORACLES, QUERIES  # noqa: F401

@@ -173,7 +173,10 @@ class Tables:
             d(F.col("l_partkey") % 50).alias("DAYS_ABOVE_32_C_YR"), d(F.col("l_orderkey") % 2 + 1).alias("MR_MATL_TYPE"),
             F.col("p_retailprice").alias("RES_MOD_AVG"),
             F.when(F.col("l_orderkey") % 10 != 0, d(F.col("l_quantity") % 7 + F.col("p_size"))).alias("REPR_THICKNESS"),
-            (F.col("l_extendedprice") / 10000).alias("MAX_MEAN_DEPTH_1_8"),
+            (
+                F.col("l_extendedprice") / 50000 + F.col("l_quantity") * 0.08 + (F.col("p_size") - 25) * (F.col("p_size") - 25) * F.lit(0.004)
+                + F.col("l_discount") * F.col("p_size") * 0.5
+            ).alias("MAX_MEAN_DEPTH_1_8"),
             F.when(F.col("l_orderkey") % 7 != 0, F.col("p_type")).alias("MATERIAL"),
         )
 
@@ -319,7 +322,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         "SELECT l_orderkey AS id, l_linenumber AS line, l_linenumber::DOUBLE AS CONSTRUCTION_NO, l_quantity::DOUBLE AS ANL_KESAL_LTPP_LN_YR, l_discount * 100 AS TOTAL_ANN_PRECIP, "
         "l_tax * 100 AS FREEZE_INDEX_YR, p_size::DOUBLE AS MAX_ANN_TEMP_AVG, (l_suppkey % 30)::DOUBLE AS MAX_ANN_TEMP_DAYS, (l_partkey % 50)::DOUBLE AS DAYS_ABOVE_32_C_YR, "
         "(l_orderkey % 2 + 1)::DOUBLE AS MR_MATL_TYPE, p_retailprice AS RES_MOD_AVG, CASE WHEN l_orderkey % 10 <> 0 THEN (l_quantity % 7 + p_size)::DOUBLE END AS REPR_THICKNESS, "
-        "l_extendedprice / 10000 AS MAX_MEAN_DEPTH_1_8, CASE WHEN l_orderkey % 7 <> 0 THEN p_type END AS MATERIAL FROM lineitem JOIN part ON l_partkey = p_partkey",
+        "l_extendedprice / 50000 + l_quantity * 0.08::DOUBLE + (p_size - 25) * (p_size - 25) * 0.004::DOUBLE + l_discount * p_size * 0.5::DOUBLE AS MAX_MEAN_DEPTH_1_8, CASE WHEN l_orderkey % 7 <> 0 THEN p_type END AS MATERIAL FROM lineitem JOIN part ON l_partkey = p_partkey",
     ),
     "predictions": (
         (),
