@@ -33,7 +33,7 @@ def rollup(spark, args) -> None:
                 temp, _ = ingest.identify_series(wide.columns)
                 finer = ingest.to_long(ingest.coerce_numeric(wide, temp), temp)
         else:
-            finer = readers.scan_rollup(spark, args.output, LEVELS[LEVELS.index(level) - 1], args.kind)
+            finer = readers.scan_rollup(spark, args.output, LEVELS[LEVELS.index(level) - 1], args.kind, dedup=False)
         rows = C.level_of(finer, level, rules)
         if args.as_of:
             rows = filters.closed_buckets(rows, level, args.as_of)

@@ -49,12 +49,13 @@ def drop_bad_channels(lengths: DataFrame, name: str = "Time") -> DataFrame:
     return lengths.where((F.col("channel") != name) & (F.col("n") > 0) & (F.col("numeric") == F.col("n")))
 
 
-def regrid_linear(samples: DataFrame, lengths: DataFrame, clock: DataFrame, slice_rows: int = 65_536) -> DataFrame:
+def regrid_linear(samples: DataFrame, lengths: DataFrame, clock: DataFrame, slice_rows: int = 65_536, clock_name: str = "Time") -> DataFrame:
     """Every good channel on the time grid of its file, by linear interpolation.
 
     A channel of n points is taken as evenly spread over [t_min, t_max] of the
     file's clock; ends extrapolate.  Channels as long as the clock map point to
-    point.  Result: (file, grp, channel, idx, time, value).
+    point.  Result: (file, grp, channel, idx, time, value) and any further columns
+    of ``clock``, which holds one row per file.
 
     The work is two equi-joins.  Grid points meet their file's channels on
     (file, slice of the index) -- channel facts are repeated per slice, so one
@@ -63,12 +64,14 @@ def regrid_linear(samples: DataFrame, lengths: DataFrame, clock: DataFrame, slic
     """
     n = F.col("n")
     good = drop_bad_channels(lengths).select(*CHANNEL, n)
+    extra = [c for c in clock.columns if c not in (*CHANNEL, "n", "low", "high")]
     grid = (
-        samples.join(clock.select("file", "grp", "channel"), list(CHANNEL), "left_semi")
+        samples.where(F.col("channel") == clock_name)
+        .join(clock.select(*CHANNEL), list(CHANNEL), "left_semi")
         .select("file", "idx", F.col("value").try_cast("double").alias("time"))
         .withColumn("slice", F.floor(F.col("idx") / slice_rows))
     )
-    span = clock.select("file", F.col("n").alias("points"), F.col("low").alias("t0"), F.col("high").alias("t1"))
+    span = clock.select("file", F.col("n").alias("points"), F.col("low").alias("t0"), F.col("high").alias("t1"), *extra)
     facts = (
         good.join(span, "file")
         .withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("points") - 1) / slice_rows))))
@@ -102,7 +105,7 @@ def regrid_linear(samples: DataFrame, lengths: DataFrame, clock: DataFrame, slic
     y = F.when(step == 0, F.col("y0")).otherwise(
         F.col("y0") + step * F.coalesce(F.col("y1") - F.col("y0"), F.lit(0.0))
     )
-    return placed.join(segments, [*CHANNEL, "i"], "left").select(*CHANNEL, "idx", "time", y.alias("value"))
+    return placed.join(segments, [*CHANNEL, "i"], "left").select(*CHANNEL, "idx", "time", y.alias("value"), *extra)
 
 
 def start_of_file(meta: DataFrame) -> DataFrame:
@@ -117,17 +120,10 @@ def readings_from_channels(samples: DataFrame, meta: DataFrame, slice_rows: int
     """Whole channel ingest: choose the clock, drop bad channels, regrid, stamp."""
     lengths = channel_lengths(samples)
     clock = pick_time_channel(lengths)
-    grid = regrid_linear(samples, lengths, clock, slice_rows)
-    # One row per file; a plain join lets AQE broadcast it when it is small and
-    # split the big side when one file dominates.
-    return (
-        grid.join(start_of_file(meta), "file")
-        .select(
-            times.plus_seconds(F.col("start"), "time").alias("timestamp"),
-            F.col("channel").alias("series_id"),
-            "value",
-            "file",
-        )
+    # The start instant joins the one-row-per-file clock, not the readings.
+    grid = regrid_linear(samples, lengths, clock.join(start_of_file(meta), "file"), slice_rows)
+    return grid.select(
+        times.plus_seconds(F.col("start"), "time").alias("timestamp"), F.col("channel").alias("series_id"), "value", "file"
     )
 
 

@@ -44,13 +44,18 @@ def exact_quantiles(
     final = [t for t in targets if t["m"]]
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
     if final:
+        # Targets that share a bracket share one percentile (one buffer).
+        groups: dict[tuple, list[dict]] = {}
+        for t in final:
+            groups.setdefault((t["col"], t["lo"], t["hi"]), []).append(t)
         aggs = []
-        for k, t in enumerate(final):
-            p = (t["rank"] - t["below"]) / (t["m"] - 1) if t["m"] > 1 else 0.0
-            aggs.append(F.percentile(_inside(num[t["col"]], t), min(1.0, max(0.0, p))).alias(f"q{k}"))
+        for k, ts in enumerate(groups.values()):
+            at = [min(1.0, max(0.0, (t["rank"] - t["below"]) / max(1, t["m"] - 1))) for t in ts]
+            aggs.append(F.percentile(_inside(num[ts[0]["col"]], ts[0]), F.array(*[F.lit(p) for p in at])).alias(f"q{k}"))
         row = df.agg(*aggs).first()
-        for k, t in enumerate(final):
-            out[t["col"]][t["j"]] = row[f"q{k}"]
+        for k, ts in enumerate(groups.values()):
+            for t, q in zip(ts, row[f"q{k}"]):
+                out[t["col"]][t["j"]] = q
     return out
 
 

@@ -100,8 +100,11 @@ def daily_sensor_vs_weather(
         .groupBy(F.col("timestamp").cast("date").alias("day"))
         .agg(F.avg("mean").alias("avg_sensor_temp"))
     )
+    # Only days the sensors can have: prunes the station scan as well.
+    first, after = F.lit(low).cast("date"), F.date_add(F.lit(high).cast("date"), 1)
+    days = (F.col("timestamp") >= first.cast("timestamp_ntz")) & (F.col("timestamp") < after.cast("timestamp_ntz"))
     weather = (
-        hourly_weather.where(F.col("series_id").isin("temperature", "solar_radiation"))
+        hourly_weather.where(days & F.col("series_id").isin("temperature", "solar_radiation"))
         .groupBy(F.col("timestamp").cast("date").alias("day"))
         .agg(
             F.max(F.when(F.col("series_id") == "temperature", F.col("mean"))).alias("max_air_temp"),

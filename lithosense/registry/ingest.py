@@ -16,15 +16,19 @@ def channel_samples(t):
     """Decoded channels: one value channel per event type, indexed in time order, a
     clock as long as the longest one, a shorter clock, and a channel of words."""
     ev = dense_index(t.events, ["event_type"], "ts", ("event_id",))
-    values = ev.select(F.lit("run_2024-01-01.bin").alias("file"), F.lit("G1").alias("grp"), F.col("event_type").alias("channel"), "idx", F.col("value").cast("string").alias("value"))
-    clock = ev.where(F.col("event_type") == "signup").select(
-        F.lit("run_2024-01-01.bin").alias("file"), F.lit("G1").alias("grp"), F.lit("Time").alias("channel"), "idx",
-        (F.col("idx") * 10 + F.col("idx") % 3).cast("double").cast("string").alias("value"),
+    kind, idx, lit = F.col("event_type"), F.col("idx"), F.lit
+    tick = (idx * 10 + idx % 3).cast("double").cast("string")
+
+    def row(grp, channel, at, value):
+        return F.struct(lit(grp).alias("grp"), channel.alias("channel"), at.cast("bigint").alias("idx"), value.alias("value"))
+
+    rows = F.array(
+        row("G1", kind, idx, F.col("value").cast("string")),
+        F.when(kind == "signup", row("G1", lit("Time"), idx, tick)),
+        F.when((kind == "signup") & (idx % 2 == 0), row("G2", lit("Time"), idx / 2, tick)),
+        F.when(kind == "view", row("G2", lit("note"), idx, F.col("props"))),
     )
-    # A shorter clock in another group, an empty-text channel that is not numeric.
-    short = clock.where(F.col("idx") % 2 == 0).select("file", F.lit("G2").alias("grp"), "channel", (F.col("idx") / 2).cast("bigint").alias("idx"), "value")
-    words = ev.where(F.col("event_type") == "view").select(F.lit("run_2024-01-01.bin").alias("file"), F.lit("G2").alias("grp"), F.lit("note").alias("channel"), "idx", F.col("props").alias("value"))
-    return values.unionByName(clock).unionByName(short).unionByName(words)
+    return ev.select(lit("run_2024-01-01.bin").alias("file"), F.inline(F.filter(rows, lambda r: r.isNotNull())))
 
 
 _SAMPLES = {

@@ -62,7 +62,7 @@ def scan_weather_dir(spark: SparkSession, path: str) -> DataFrame:
     return coerce_numeric(unique)
 
 
-def scan_rollup(spark: SparkSession, root: str, level: str, kind: str = "temperature", skip_corrupt: bool = True) -> DataFrame:
+def scan_rollup(spark: SparkSession, root: str, level: str, kind: str = "temperature", skip_corrupt: bool = True, dedup: bool = True) -> DataFrame:
     """A stored level, first row per (time, series) in file order.
 
     Layout is ``kind=/level=/day=``: filters on kind and level never list the
@@ -74,6 +74,8 @@ def scan_rollup(spark: SparkSession, root: str, level: str, kind: str = "tempera
         .option("ignoreCorruptFiles", skip_corrupt)
         .parquet(path)
     )
+    if not dedup:  # tables kept by write_rollup hold each key once
+        return df.drop("day")
     return dedup_first(with_position(df), [S.AXIS[level], "series_id"], POSITION).drop("day", *POSITION)
 
 
