@@ -13,9 +13,10 @@ from lithosense.registry.base import METRIC_OF, query, r, rnd, sql
 
 
 def channel_samples(t):
-    """Decoded channels: one value channel per event type, indexed in time order, a
-    clock as long as the longest one, a shorter clock, and a channel of words."""
-    ev = dense_index(t.events, ["event_type"], "ts", ("event_id",))
+    """Decoded channels of two files: one value channel per event type, indexed in time
+    order, a clock, a shorter clock, and a channel of words."""
+    src = t.events.withColumn("file", F.concat(F.lit("run_2024-01-0"), F.col("user_id") % 2 + 1, F.lit(".bin")))
+    ev = dense_index(src, ["file", "event_type"], "ts", ("event_id",))
     kind, idx, lit = F.col("event_type"), F.col("idx"), F.lit
     tick = (idx * 10 + idx % 3).cast("double").cast("string")
 
@@ -28,47 +29,48 @@ def channel_samples(t):
         F.when((kind == "signup") & (idx % 2 == 0), row("G2", lit("Time"), idx / 2, tick)),
         F.when(kind == "view", row("G2", lit("note"), idx, F.col("props"))),
     )
-    return ev.select(lit("run_2024-01-01.bin").alias("file"), F.inline(F.filter(rows, lambda r: r.isNotNull())))
+    return ev.select("file", F.inline(F.filter(rows, lambda r: r.isNotNull())))
 
 
 _SAMPLES = {
-    "ev": "SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS idx FROM events",
-    "vals": "SELECT 'G1' AS grp, event_type AS channel, idx, value FROM ev",
-    "clk": "SELECT idx, (idx * 10 + idx % 3)::DOUBLE AS t FROM ev WHERE event_type = 'signup'",
+    "ev": """SELECT *, row_number() OVER (PARTITION BY file, event_type ORDER BY ts, event_id) - 1 AS idx
+        FROM (SELECT *, 'run_2024-01-0' || (user_id % 2 + 1) || '.bin' AS file FROM events)""",
+    "vals": "SELECT file, 'G1' AS grp, event_type AS channel, idx, value FROM ev",
+    "clk": "SELECT file, idx, (idx * 10 + idx % 3)::DOUBLE AS t FROM ev WHERE event_type = 'signup'",
 }
 
 
 @query("pick_time_channel", sql(
-    "SELECT 'run_2024-01-01.bin' AS file, 'G1' AS grp, 'Time' AS channel, count(*) AS n, min(t) AS low, max(t) AS high FROM clk", **_SAMPLES))
+    "SELECT file, 'G1' AS grp, 'Time' AS channel, count(*) AS n, min(t) AS low, max(t) AS high FROM clk GROUP BY file", **_SAMPLES))
 def _(t):
     return I.pick_time_channel(I.channel_lengths(channel_samples(t)))
 
 
-@query("drop_bad_channels", sql("SELECT grp, channel, count(*) AS n FROM vals GROUP BY 1, 2", **_SAMPLES))
+@query("drop_bad_channels", sql("SELECT file, grp, channel, count(*) AS n FROM vals GROUP BY 1, 2, 3", **_SAMPLES))
 def _(t):
-    return I.drop_bad_channels(I.channel_lengths(channel_samples(t))).select("grp", "channel", "n")
+    return I.drop_bad_channels(I.channel_lengths(channel_samples(t))).select("file", "grp", "channel", "n")
 
 
 _REGRID = {
     **_SAMPLES,
-    "len": "SELECT channel, count(*) AS n FROM vals GROUP BY 1",
-    "span": "SELECT min(t) AS t0, max(t) AS t1, count(*) AS points FROM clk",
-    "pos": "SELECT channel, idx, t, n, CASE WHEN n = points THEN idx::DOUBLE ELSE (t - t0) / (t1 - t0) * (n - 1) END AS p FROM clk, span, len",
+    "len": "SELECT file, channel, count(*) AS n FROM vals GROUP BY 1, 2",
+    "span": "SELECT file, min(t) AS t0, max(t) AS t1, count(*) AS points FROM clk GROUP BY 1",
+    "pos": "SELECT file, channel, idx, t, n, CASE WHEN n = points THEN idx::DOUBLE ELSE (t - t0) / (t1 - t0) * (n - 1) END AS p FROM clk JOIN span USING (file) JOIN len USING (file)",
     "seg": "SELECT *, least(greatest(floor(p)::BIGINT, 0), n - 2) AS i FROM pos",
-    "grid": """SELECT s.channel, s.idx, s.t, CASE WHEN p = i THEN a.value ELSE a.value + (p - i) * (b.value - a.value) END AS y FROM seg s JOIN vals a ON a.channel = s.channel AND a.idx = s.i
-        JOIN vals b ON b.channel = s.channel AND b.idx = s.i + 1""",
+    "grid": """SELECT s.file, s.channel, s.idx, s.t, CASE WHEN p = i THEN a.value ELSE a.value + (p - i) * (b.value - a.value) END AS y FROM seg s
+        JOIN vals a ON a.file = s.file AND a.channel = s.channel AND a.idx = s.i JOIN vals b ON b.file = s.file AND b.channel = s.channel AND b.idx = s.i + 1""",
 }
 
 
-@query("regrid_linear", sql(f"SELECT channel, idx, t AS time, {r('y', 'value')} FROM grid", **_REGRID))
+@query("regrid_linear", sql(f"SELECT file, channel, idx, t AS time, {r('y', 'value')} FROM grid", **_REGRID))
 def _(t):
     s = channel_samples(t)
     lengths = I.channel_lengths(s)
-    return rnd(I.regrid_linear(s, lengths, I.pick_time_channel(lengths), slice_rows=256).select("channel", "idx", "time", "value"))
+    return rnd(I.regrid_linear(s, lengths, I.pick_time_channel(lengths), slice_rows=256).select("file", "channel", "idx", "time", "value"))
 
 
 @query("readings_from_channels", sql(
-    f"SELECT TIMESTAMP '2024-01-01' + to_microseconds((t * 1000000)::BIGINT) AS \"timestamp\", channel AS series_id, {r('y', 'value')} FROM grid", **_REGRID))
+    f"SELECT CAST(substr(file, 5, 10) AS TIMESTAMP) + to_microseconds((t * 1000000)::BIGINT) AS \"timestamp\", channel AS series_id, {r('y', 'value')} FROM grid", **_REGRID))
 def _(t):
     s = channel_samples(t)
     meta = s.groupBy("file", "grp", "channel").agg(F.count(F.lit(1)).alias("n")).select(

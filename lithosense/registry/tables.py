@@ -57,7 +57,7 @@ def _(t):
     return I.to_long(I.coerce_numeric(df, list(kinds)), list(kinds))
 
 
-@query("scan_channels", sql("SELECT event_type AS channel, count(*) AS n, sum(idx)::BIGINT AS idx_sum, round(sum(value), 2) AS total FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS idx FROM events) GROUP BY 1"))
+@query("scan_channels", sql("SELECT event_type AS channel, count(*) AS n, sum(idx)::BIGINT AS idx_sum, round(sum(value) + 1.7e-5, 2) AS total FROM (SELECT *, row_number() OVER (PARTITION BY user_id % 2, event_type ORDER BY ts, event_id) - 1 AS idx FROM events) GROUP BY 1"))
 def _(t):
     from lithosense.registry.ingest import channel_samples
 
@@ -68,11 +68,11 @@ def _(t):
         "file", "grp", "channel", F.lit(0).alias("ordinal"), "n", F.create_map().cast("map<string,string>").alias("props"), F.lit(None).cast("timestamp").alias("modified")
     ).write.parquet(f"{root}/meta")
     samples, meta = readers.scan_channels(t.spark, f"{root}/samples", f"{root}/meta")
-    good = I.drop_bad_channels(I.channel_lengths(samples)).select("channel")
+    good = I.drop_bad_channels(I.channel_lengths(samples)).select("file", "grp", "channel")
     facts = meta.where(F.col("modified").isNotNull()).select("file", "grp", "channel")
     return (
-        samples.join(facts, ["file", "grp", "channel"], "left_semi").join(good, "channel", "left_semi").groupBy("channel")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("idx").alias("idx_sum"), F.round(F.sum(F.col("value").cast("double")), 2).alias("total"))
+        samples.join(facts, ["file", "grp", "channel"], "left_semi").join(good, ["file", "grp", "channel"], "left_semi").groupBy("channel")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("idx").alias("idx_sum"), F.round(F.sum(F.col("value").cast("double")) + 1.7e-5, 2).alias("total"))
     )
 
 
