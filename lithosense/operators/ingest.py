@@ -18,15 +18,15 @@ CHANNEL = ("file", "grp", "channel")
 
 
 # --- channels ------------------------------------------------------------------
-def channel_lengths(samples: DataFrame, order: Column | str = "grp") -> DataFrame:
-    """Points per channel, whether all of them are numbers, and the value range."""
+def channel_lengths(samples: DataFrame) -> DataFrame:
+    """Points per channel, how many of them are numbers, and the value range.
+
+    Numeric buffers only, so this is a hash aggregation; ties between clocks are
+    later broken by the group name.
+    """
     value = F.col("value").try_cast("double")
     return samples.groupBy(*CHANNEL).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(value).alias("numeric"),
-        F.min(value).alias("low"),
-        F.max(value).alias("high"),
-        F.min(F.col(order) if isinstance(order, str) else order).alias("ordinal"),
+        F.count(F.lit(1)).alias("n"), F.count(value).alias("numeric"), F.min(value).alias("low"), F.max(value).alias("high")
     )
 
 
@@ -37,7 +37,7 @@ def pick_time_channel(lengths: DataFrame, name: str = "Time") -> DataFrame:
         .groupBy("file")
         .agg(
             F.min_by(
-                F.struct("grp", "channel", "n", "low", "high"), F.struct(-F.col("n"), "ordinal")
+                F.struct("grp", "channel", "n", "low", "high"), F.struct(-F.col("n"), "grp")
             ).alias("t")
         )
         .select("file", "t.*")

@@ -20,13 +20,15 @@ def tagged_readings(facts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def latest_readings(dim: DataFrame, facts: dict[str, DataFrame]) -> DataFrame:
+def latest_readings(dim: DataFrame, facts: dict[str, DataFrame], tiebreak: tuple[str, ...] = ()) -> DataFrame:
     """Latest reading of every active sensor from the table of its type.
 
     One aggregation over all facts instead of two correlated look-ups per sensor
     and type.  Sensors without data, or of a type without a table, stay with NULL.
+    With unique instants per sensor no tie-break is needed and the aggregation
+    works on primitive buffers; ``("reading_id",)`` decides equal instants.
     """
-    newest = latest_per_series(tagged_readings(facts), ("sensor_type", "series_id"), tiebreak=("reading_id",))
+    newest = latest_per_series(tagged_readings(facts), ("sensor_type", "series_id"), tiebreak)
     return (
         dim.where(F.col("is_active"))
         .join(newest.withColumnRenamed("series_id", "sensor_id"), ["sensor_type", "sensor_id"], "left")

@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lithosense import schema as S
 from lithosense.operators.joins import anti_existing
 from lithosense.operators.rollup import savable
-from lithosense.session import scratch_path
+from lithosense.session import materialise
+
+# Partition values passed as a literal list; more than this are joined.
+MAX_LISTED = 5_000
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -53,9 +56,7 @@ def append_new_only(new: DataFrame, path: str, keys: list[str]) -> DataFrame:
     if exists(spark, path):
         fresh = anti_existing(new, spark.read.schema(new.schema).parquet(path), keys)
     # Written aside first: the rows are decided before the target changes.
-    staged = scratch_path(spark, "append")
-    fresh.write.parquet(staged)
-    fresh = spark.read.schema(new.schema).parquet(staged)
+    fresh = materialise(fresh, "append")
     fresh.write.mode("append").parquet(path)
     return fresh
 
@@ -68,21 +69,24 @@ def merged(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 def upsert(new: DataFrame, path: str, keys: list[str], partition: str) -> None:
     """Insert-or-replace by key, rewriting only the partitions ``new`` touches.
 
-    ``partition`` is one of the keys and the table's partition column.  Stored
-    partitions without new rows are pruned before the scan by the semi join and
-    are not rewritten (dynamic overwrite).
+    ``partition`` is one of the keys and the table's partition column.  The values
+    it has in ``new`` are looked up once and become a partition filter on the
+    stored table, so untouched partitions are neither read nor rewritten.
     """
     spark = new.sparkSession
+    new = materialise(new, "upsert-new")  # decides the rows once, before the target changes
     rows = new
     if exists(spark, path):
         stored = spark.read.parquet(path).select(*new.columns)
-        touched = stored.join(new.select(partition).distinct(), partition, "left_semi")
-        rows = merged(touched, new, keys)
-    staged = scratch_path(spark, "upsert")
-    rows.write.parquet(staged)  # a table cannot be read while it is overwritten
+        touched = new.select(partition).distinct()
+        values = [r[0] for r in touched.limit(MAX_LISTED + 1).collect()]
+        if len(values) <= MAX_LISTED:
+            stored = stored.where(F.col(partition).isin(values))
+        else:  # a very wide backfill: decide by join instead of a list
+            stored = stored.join(touched, partition, "left_semi")
+        rows = materialise(merged(stored, new, keys), "upsert")  # a table cannot be read while it is overwritten
     (
-        spark.read.schema(rows.schema).parquet(staged)
-        .hint("rebalance", partition)
+        rows.hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

@@ -71,6 +71,16 @@ def stream_dedup(readings: DataFrame, delay: str = "1 hour", keys: tuple[str, ..
     )
 
 
+def _large_state(spark: SparkSession) -> None:
+    """Keep operator state in RocksDB: on local disk with changelog checkpoints in the
+    shared folder, instead of in executor heap."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def run_to_table(stream: DataFrame, label: str, path: str | None = None, mode: str = "append") -> DataFrame:
     """Process everything available, write to a Parquet table, and return that table.
 
@@ -78,6 +88,7 @@ def run_to_table(stream: DataFrame, label: str, path: str | None = None, mode: s
     restarted driver resumes where it stopped.
     """
     spark = stream.sparkSession
+    _large_state(spark)
     path = path or scratch_path(spark, label)
     query = (
         stream.writeStream.format("parquet").outputMode(mode)
@@ -98,6 +109,7 @@ def run_upsert(stream: DataFrame, path: str, keys: list[str], partition: str, la
         upsert(rows, path, keys, partition)
 
     spark = stream.sparkSession
+    _large_state(spark)
     (
         stream.writeStream.foreachBatch(apply).outputMode("update")
         .option("checkpointLocation", scratch_path(spark, f"{label}-checkpoint"))
