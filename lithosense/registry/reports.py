@@ -28,10 +28,13 @@ def _(t):
 
 
 @query("rate_per_hour", sql(
-    f"SELECT event_id, \"timestamp\", series_id, value, {r('c', 'temp_change')}, {r('s', 'seconds_diff')}, {r('c / nullif(s, 0) * 3600', 'change_per_hour')} FROM x", "dense",
+    f"SELECT event_id, \"timestamp\", series_id, value, {r('c', 'temp_change')}, {r('s', 'seconds_diff')}, {r('c / nullif(s, 0) * 3600', 'change_per_hour', 2)} FROM x", "dense",
     x=f"SELECT *, value - {_LAG.format('value')} AS c, {_SECONDS} AS s FROM dense"))
 def _(t):
-    return rnd(rate_of_change(t.dense(), tiebreak=("event_id",)))
+    df = rate_of_change(t.dense(), tiebreak=("event_id",))
+    six = [F.round(F.col(c) + 1.7e-9, 6).alias(c) for c in ("temp_change", "seconds_diff")]
+    # Rates reach 1e8, where only two decimals are meaningful.
+    return df.select("event_id", "timestamp", "series_id", "value", *six, F.round(F.col("change_per_hour") + 1.7e-5, 2).alias("change_per_hour"))
 
 
 @query("latest_per_series", sql('SELECT series_id, arg_max(value, "timestamp") AS latest_value, max("timestamp") AS latest_timestamp FROM readings GROUP BY 1', "readings"))
