@@ -224,8 +224,7 @@ def _(t):
 
 @query("sql_predicates", sql("SELECT sensor_id, depth FROM dim WHERE is_active AND depth < 400 AND layer IN ('ASPHALT', 'BASE')", "dim"))
 def _(t):
-    t.dim().createOrReplaceTempView("sensor_dim_view")
-    return t.spark.sql("SELECT sensor_id, depth FROM sensor_dim_view WHERE is_active AND depth < 400 AND layer IN ('ASPHALT', 'BASE')")
+    return t.spark.sql("SELECT sensor_id, depth FROM {dim} WHERE is_active AND depth < 400 AND layer IN ('ASPHALT', 'BASE')", dim=t.dim())
 
 
 @query("project", sql("SELECT l_orderkey AS id, l_extendedprice AS price, l_returnflag FROM lineitem"))

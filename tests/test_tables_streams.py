@@ -71,7 +71,7 @@ def test_known_sensors_and_schema(spark):
     assert len(tables) == 20  # nineteen warehouse tables and the sensor metadata
     names = warehouse.create_schema(spark, "schema_test")
     try:
-        found = {r["tableName"].lower() for r in spark.sql("SHOW TABLES IN schema_test").collect()}
+        found = {r["tableName"].lower() for r in spark.sql("SHOW TABLES IN schema_test").where("NOT isTemporary").collect()}
         assert {n.lower() for n in names} == found
     finally:
         spark.sql("DROP DATABASE schema_test CASCADE")
