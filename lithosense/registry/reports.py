@@ -9,8 +9,8 @@ from lithosense.operators import filters, joins, sets, summaries
 from lithosense.operators.quantiles import describe, percentiles
 from lithosense.operators.windows import dedup_first, dedup_rows, latest_per_series, rate_of_change
 from lithosense.plans import views
-from lithosense.registry.base import AS_OF, columns, query, r, rnd, sql
-from lithosense.registry.rollups import TS, td, th, w, z
+from lithosense.registry.base import columns, query, r, rnd, sql
+from lithosense.registry.rollups import TS, th, w, z
 
 # --- windows ---------------------------------------------------------------------------
 _LAG = 'lag({}) OVER (PARTITION BY series_id ORDER BY "timestamp", event_id)'
@@ -113,9 +113,6 @@ def _(t):
     return src.where(F.col("timestamp") == summaries.latest(src))
 
 
-_P = ((0.05, "value"), (0.5, "value"), (0.95, "value"))
-
-
 @query("percentiles", sql(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", {p}::DOUBLE AS p, {r(f'quantile_cont({c}, {p})', 'value')} FROM lineitem" for c in ("l_quantity", "l_extendedprice") for p in (0.05, 0.5, 0.95))))
 def _(t):

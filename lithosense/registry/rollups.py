@@ -137,9 +137,6 @@ def _(t):
     return rnd(t15(t).select("timestamp", "series_id", value_range().alias("value_range")))
 
 
-_GROUP = "date_trunc('hour', \"timestamp\")"
-
-
 @query("pooled_std", sql('SELECT "timestamp", series_id, ' + r("std", "std") + ", count FROM zh", "zh"))
 def _(t):
     return rnd(R.rollup_hourly(R.rollup_15min_weather(t.readings()), null_std="zero").select("timestamp", "series_id", "std", "count"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lithosense.registry.base import THRESHOLD, columns, query, r, rnd, sql
+from lithosense.registry.base import THRESHOLD, columns, query, rnd, sql
 from lithosense.registry.rollups import TS
 from lithosense.session import scratch_path
 from lithosense.streaming import rollups as S
@@ -12,7 +12,7 @@ from lithosense.streaming import rollups as S
 _EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
-def _stream(t, series="series"):
+def _stream(t):
     raw = S.read_stream(t.spark, t.dir, _EVENTS, glob="events.parquet")
     return raw.select(F.col("ts").alias("timestamp"), F.concat(F.lit("S"), F.col("user_id") % 25).alias("series_id"), "value", "event_id")
 

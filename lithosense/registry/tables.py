@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lithosense.operators import ingest as I
 from lithosense.plans import cascade as C
-from lithosense.registry.base import columns, query, r, rnd, sql
+from lithosense.registry.base import columns, query, rnd, sql
 from lithosense.registry.rollups import DAY, SENSOR, TS, WEEK, t15, z
 from lithosense.schema import SECTION_TABLES
 from lithosense.session import scratch_path
