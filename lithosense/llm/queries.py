@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lithosense.llm import bpe, chat, secrets, sharding
+from lithosense.llm import bpe, chat, near_dedup, secrets, sharding
 from lithosense.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,9 @@ def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document; formats are learnt from the same table."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.digests(secrets.scan(docs, secrets.fit(docs)))
+
+
+@query("op8_near_dedup")
+def near_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of two-word shingles are similar."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
