@@ -11,6 +11,8 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from lithosense.session import materialise
+
 _ROOT = Path(__file__).resolve().parents[2]
 
 
@@ -54,3 +56,17 @@ def input_bytes(df: DataFrame, text_col: str) -> int:
 
 def partitions_for(total: int, each: int) -> int:
     return max(1, -(-total // each))
+
+
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Cut lineage by a table in the shared folder; the shuffle files behind it are removed at once."""
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        return materialise(df, label)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)

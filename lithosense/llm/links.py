@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lithosense.session import materialise
+from lithosense.llm.common import written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -14,10 +14,10 @@ def components(links: DataFrame) -> DataFrame:
     its smaller neighbours do.  The links end as stars around the smallest ids.  The number
     of rounds grows with the logarithm of the ids.  Each round is a written table.
     """
-    edges = materialise(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "links")
+    edges = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "links")
     state = None
     while True:
-        edges = materialise(_smaller_step(_larger_step(edges)), "links")
+        edges = written(_smaller_step(_larger_step(edges)), "links")
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == state:
             break

@@ -29,10 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lithosense.llm.common import ensure_importable
+from lithosense.llm.common import ensure_importable, written
 from lithosense.llm.links import components
 from lithosense.llm.words import chunks, mix, shingle_sets
-from lithosense.session import materialise
 
 BUCKETS, MANTISSA_BITS = 256, 10
 BANDS, ROWS = 40, 5
@@ -163,19 +162,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Documents are linked when ``100 * |A ∩ B| >= threshold * |A ∪ B|`` for their sets of
     ``width``-word shingles; a component's id is its smallest document id, which is kept.
     """
-    sketched = materialise(sketches(df, id_col, text_col, width), "sketches")
+    sketched = written(sketches(df, id_col, text_col, width), "sketches")
     usable = sketched.filter("regs IS NOT NULL AND id IS NOT NULL")
     classes = usable.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("rep"))
     # an id with several rows may stand for several classes: the rows are joined by their id
     representatives = usable.join(classes, ["f1", "f2", "n_shingles"]).filter("id = rep").groupBy("id", "f1", "f2").agg(F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs")).drop("f1", "f2")
     bands = _bands(representatives)
     shared = bands.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
-    open_bands = materialise(bands.join(shared.select("key"), "key"), "bands")
+    open_bands = written(bands.join(shared.select("key"), "key"), "bands")
     wanted = open_bands.select("id").distinct()
-    texts = materialise(
+    texts = written(
         df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi"), "texts"
     )
-    regs = materialise(representatives.join(wanted, "id", "left_semi"), "registers")
+    regs = written(representatives.join(wanted, "id", "left_semi"), "registers")
 
     found = None
     labelled = open_bands.withColumn("component", F.col("id"))
@@ -192,10 +191,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             other = still.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
             pairs = still.join(other, "key").filter("id < b AND component <> cb").select(F.col("id").alias("a"), "b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = materialise(_confirmed(_likely(pairs, regs, threshold), texts, width, threshold).distinct(), "confirmed")
+        links = written(_confirmed(_likely(pairs, regs, threshold), texts, width, threshold).distinct(), "confirmed")
         found = links if found is None else found.unionByName(links)
         joined = components(found)
-        labelled = materialise(
+        labelled = written(
             open_bands.join(joined, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "bands"
         ) if turn < rounds else labelled
 

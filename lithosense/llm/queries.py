@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lithosense.llm import bpe, chat, near_dedup, secrets, sharding
+from lithosense.llm import bpe, chat, decontaminate, line_dedup, near_dedup, secrets, sharding
 from lithosense.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,16 @@ def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of two-word shingles are similar."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
+@query("op1_line_dedup")
+def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that an earlier line repeats, equal or one edit away."""
+    cleaned = line_dedup.remove_duplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
+@query("op3_decontaminate")
+def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items it holds."""
+    return decontaminate.by_document(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
