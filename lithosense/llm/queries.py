@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lithosense.llm import bpe, chat, decontaminate, line_dedup, near_dedup, secrets, sharding
+from lithosense.llm import bpe, chat, decontaminate, hmm, line_dedup, near_dedup, quality, secrets, sharding
 from lithosense.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,16 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items it holds."""
     return decontaminate.by_document(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_quality")
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's perplexity under the model of trusted text, and whether it is kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+@query("op6_hmm")
+def hmm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability under the hidden Markov model and under word frequencies."""
+    return hmm.score(table(spark, sf_dir, "documents"))
