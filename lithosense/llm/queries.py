@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lithosense.llm import bpe, chat, decontaminate, hmm, line_dedup, near_dedup, quality, secrets, sharding
+from lithosense.llm import ann, bpe, chat, decontaminate, hmm, line_dedup, near_dedup, quality, secrets, sharding
 from lithosense.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,9 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hmm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's probability under the hidden Markov model and under word frequencies."""
     return hmm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op4_ann")
+def ann_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
