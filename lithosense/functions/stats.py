@@ -9,6 +9,19 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _buckets(n: Column, mean: Column, std: Column) -> Column:
+    """The finer buckets of a group as an array.
+
+    A coarser bucket holds 4 quarters, 24 hours or 7 days, so the array is short; with all
+    of it at hand the spread is taken around the group's own mean and nothing cancels.
+    """
+    return F.collect_list(F.struct(n.cast("double").alias("n"), mean.cast("double").alias("m"), std.cast("double").alias("s")))
+
+
+def _sum(buckets: Column, term) -> Column:
+    return F.aggregate(buckets, F.lit(0.0), lambda acc, x: acc + F.coalesce(term(x), F.lit(0.0)))
+
+
 def pooled_std(
     n: Column | str = "count",
     mean: Column | str = "mean",
@@ -17,27 +30,25 @@ def pooled_std(
 ) -> Column:
     """Pooled standard deviation of finer buckets: sqrt((Σn·s² + Σn·(m−M)²) / N).
 
-    Written with plain sums (Σn(s²+m²)/N − M²), so Spark aggregates it map-side
-    before the shuffle.  ``null_std`` says what a missing finer deviation does:
-    ``propagate`` makes the result NULL, ``zero`` counts it as 0 and also gives 0
-    for a single reading.  For |mean| far above the deviation use
-    ``rollup.pooled_std_two_pass``.
+    An aggregate for groups of few rows (the finer buckets of one coarser bucket).
+    ``null_std`` says what a missing finer deviation does: ``propagate`` makes the result
+    NULL, ``zero`` counts it as 0 and also gives 0 for a single reading.  For groups of any
+    size use ``rollup.pooled_std_two_pass``.
     """
-    n, mean, std = _c(n), _c(mean), _c(std)
-    total = F.sum(n)
-    spread = std if null_std == "propagate" else F.coalesce(std, F.lit(0.0))
-    centre = F.sum(n * mean) / F.nullif(total, F.lit(0))
-    square = F.sum(n * (spread * spread + mean * mean)) / F.nullif(total, F.lit(0))
-    variance = square - centre * centre
-    # A difference below the rounding error of its terms is no spread at all.
-    out = F.when(F.coalesce(total, F.lit(0)) == 0, F.lit(0.0)).otherwise(
-        F.when(variance <= square * F.lit(1e-14), F.lit(0.0)).otherwise(F.sqrt(variance))
-    )
+    if null_std not in ("propagate", "zero"):
+        raise ValueError(f"null_std must be 'propagate' or 'zero', not {null_std!r}")
+    rows = _buckets(_c(n), _c(mean), _c(std))
+    total = _sum(rows, lambda x: x["n"])
+    centre = _sum(rows, lambda x: x["n"] * x["m"]) / F.nullif(total, F.lit(0.0))
+
+    def term(x: Column) -> Column:
+        s = F.coalesce(x["s"], F.lit(0.0))
+        return x["n"] * (s * s + (x["m"] - centre) * (x["m"] - centre))
+
+    out = F.when(total == 0, F.lit(0.0)).otherwise(F.sqrt(_sum(rows, term) / F.nullif(total, F.lit(0.0))))
     if null_std == "propagate":
-        return F.when(F.count(std) < F.count(F.lit(1)), F.lit(None).cast("double")).otherwise(out)
-    if null_std == "zero":
-        return F.when(total == 1, F.lit(0.0)).otherwise(out)
-    raise ValueError(f"null_std must be 'propagate' or 'zero', not {null_std!r}")
+        return F.when(~F.exists(rows, lambda x: x["s"].isNull()), out)
+    return F.when(total == 1, F.lit(0.0)).otherwise(out)
 
 
 def weighted_mean(n: Column | str = "count", mean: Column | str = "mean") -> Column:
@@ -48,11 +59,11 @@ def weighted_mean(n: Column | str = "count", mean: Column | str = "mean") -> Col
 def exact_std(n: Column | str = "count", mean: Column | str = "mean", std: Column | str = "std") -> Column:
     """Sample standard deviation of the raw readings behind finer buckets, from
     their (count, mean, sample std); a missing std (one reading) adds nothing."""
-    n, mean = _c(n), _c(mean)
-    s = F.coalesce(_c(std), F.lit(0.0))
-    total = F.sum(n)
-    m2 = F.sum((n - 1) * s * s + n * mean * mean) - F.sum(n * mean) * F.sum(n * mean) / F.nullif(total, F.lit(0))
-    return F.when(total > 1, F.sqrt(F.greatest(F.lit(0.0), m2) / (total - 1)))
+    rows = _buckets(_c(n), _c(mean), _c(std))
+    total = _sum(rows, lambda x: x["n"])
+    centre = _sum(rows, lambda x: x["n"] * x["m"]) / F.nullif(total, F.lit(0.0))
+    m2 = _sum(rows, lambda x: (x["n"] - 1) * F.coalesce(x["s"] * x["s"], F.lit(0.0)) + x["n"] * (x["m"] - centre) * (x["m"] - centre))
+    return F.when(total > 1, F.sqrt(m2 / (total - 1)))
 
 
 def mse(label: Column | str, prediction: Column | str) -> Column:

@@ -1,8 +1,7 @@
-"""Joins that stay whole under skew.
+"""Joins that never need a hint to be correct.
 
-Adaptive execution splits a hot key of an inner, semi, anti or one-sided outer
-join, but not of a full outer join.  The helpers below therefore phrase joins in
-terms of those kinds and never need a hint to be correct.
+Adaptive execution splits a hot key of an inner, semi, anti or one-sided outer join, but
+not of a full outer join; for that case ``merge`` has a form made of the other kinds.
 """
 
 from __future__ import annotations
@@ -28,14 +27,24 @@ def merge(
     how: str = "inner",
     suffixes: tuple[str, str] = ("_x", "_y"),
     null_safe: bool = False,
+    hot_keys: bool = False,
 ) -> DataFrame:
     """Equi-join on shared key names; colliding columns get suffixes.
 
     ``null_safe=True`` lets NULL keys match each other.  ``how``: inner, left, outer.
+    An outer join is one full join; with ``hot_keys`` it is made of parts whose hot keys
+    can be split, for inputs where one key holds many rows on both sides.
     """
     left, right = _suffix(left, right, on, suffixes)
-    if how == "outer":
+    if how == "outer" and hot_keys:
         return _outer(left, right, on, null_safe)
+    if how == "outer" and null_safe:
+        renamed = right.withColumnsRenamed({k: f"__{k}" for k in on})
+        cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in on])
+        both = left.join(renamed, cond, "full").withColumns({k: F.coalesce(F.col(k), F.col(f"__{k}")) for k in on})
+        return both.select(*on, *[c for c in left.columns if c not in on], *[c for c in right.columns if c not in on])
+    if how == "outer":
+        return left.join(right, on, "full")
     if not null_safe:
         return left.join(right, on, how)
     renamed = right.withColumnsRenamed({k: f"__{k}" for k in on})
@@ -72,8 +81,9 @@ def semi_dates(weather: DataFrame, complete: DataFrame, keys: list[str]) -> Data
 
 
 def anti_existing(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is not stored yet."""
-    return new.join(existing.select(*keys).distinct(), keys, "left_anti")
+    """Rows whose key is not stored yet; NULL keys equal each other."""
+    stored = existing.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    return new.join(stored, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]), "left_anti")
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, key: str = "series_id", dim_key: str = "sensor_id") -> DataFrame:

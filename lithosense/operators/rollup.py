@@ -67,14 +67,20 @@ def rollup_15min_wide(
     return out.withColumn("series_id", F.get(names, F.col("series_id")))
 
 
+def coarse_stats(null_std: str) -> list:
+    """Aggregates from a finer level, under names that its columns do not have; see ``named``."""
+    return [
+        F.avg("mean").alias("_mean"), F.min("min").alias("_min"), F.max("max").alias("_max"),
+        stats.pooled_std(null_std=null_std).alias("_std"), F.sum("count").alias("_count"),
+    ]
+
+
+def named(df: DataFrame) -> DataFrame:
+    return df.withColumnsRenamed({f"_{c}": c for c in STATS})
+
+
 def _coarser(finer: DataFrame, group: list[str], null_std: str) -> DataFrame:
-    return finer.groupBy(*group).agg(
-        F.avg("mean").alias("mean"),
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-        stats.pooled_std(null_std=null_std).alias("std"),
-        F.sum("count").alias("count"),
-    )
+    return named(finer.groupBy(*group).agg(*coarse_stats(null_std)))
 
 
 def rollup_hourly(
@@ -107,14 +113,7 @@ def rollup_weekly(
     """
     src = valid_stats(daily, need_std=True) if week_end == "data" else daily
     src = src.select(week_of("date").alias("week_start"), "date", *keys, *STATS)
-    out = src.groupBy("week_start", *keys).agg(
-        F.max("date").alias("_last"),
-        F.avg("mean").alias("mean"),
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-        stats.pooled_std(null_std=null_std).alias("std"),
-        F.sum("count").alias("count"),
-    )
+    out = named(src.groupBy("week_start", *keys).agg(F.max("date").alias("_last"), *coarse_stats(null_std)))
     sunday = F.date_add("week_start", 6)
     end = F.least(sunday, F.col("_last")) if week_end == "data" else sunday
     return out.select(
@@ -125,8 +124,7 @@ def rollup_weekly(
 def pooled_std_two_pass(finer: DataFrame, group: list[str], null_std: str = "propagate") -> DataFrame:
     """Pooled deviation by centring on the group mean first.
 
-    For data whose mean dwarfs its spread (pressure in Pa), where the one-pass
-    sums cancel.  The groups are the finer buckets of one coarser bucket (4
+    The same value as ``stats.pooled_std``, for groups of any size.  The groups are usually the finer buckets of one coarser bucket (4
     quarters, 24 hours or 7 days per series), so the window stays small; hash
     aggregation follows on the same partitioning, without another shuffle.
     """
@@ -146,12 +144,11 @@ def pooled_std_two_pass(finer: DataFrame, group: list[str], null_std: str = "pro
 
 def exact_rollup(finer: DataFrame, group: list[str]) -> DataFrame:
     """True mean and sample deviation of the raw readings behind finer buckets."""
-    return finer.groupBy(*group).agg(
-        stats.weighted_mean().alias("mean"),
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-        stats.exact_std().alias("std"),
-        F.sum("count").alias("count"),
+    return named(
+        finer.groupBy(*group).agg(
+            stats.weighted_mean().alias("_mean"), F.min("min").alias("_min"), F.max("max").alias("_max"),
+            stats.exact_std().alias("_std"), F.sum("count").alias("_count"),
+        )
     )
 
 

@@ -62,10 +62,7 @@ def _weekly(daily: DataFrame, rules: Rules) -> DataFrame:
     if rules.week_end == "data":
         daily = R.valid_stats(daily, need_std=True)
     sunday = F.date_add("week_start", 6)
-    out = daily.withColumnRenamed("week", "week_start").groupBy("week_start", "series_id").agg(
-        F.max("date").alias("_last"), F.avg("mean").alias("mean"), F.min("min").alias("min"), F.max("max").alias("max"),
-        R.stats.pooled_std(null_std=rules.null_std).alias("std"), F.sum("count").alias("count"),
-    )
+    out = R.named(daily.withColumnRenamed("week", "week_start").groupBy("week_start", "series_id").agg(F.max("date").alias("_last"), *R.coarse_stats(rules.null_std)))
     end = F.least(sunday, F.col("_last")) if rules.week_end == "data" else sunday
     return out.select(
         "week_start", end.alias("week_end"), "series_id", *R.STATS, (F.col("max") - F.col("min")).alias("temp_range")

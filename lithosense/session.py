@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,15 +45,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
-
-    Only where the cluster names none (unit tests on one machine) is a local
-    temporary folder used instead.
-    """
+    """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``, else
+    one below its warehouse.  Driver and executors must all see it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="lithosense-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = f"{warehouse.rstrip('/')}/_scratch"
     return root.rstrip("/")
 
 

@@ -1,8 +1,9 @@
-"""Readers.  Every reader is one scan over a path or glob; nothing is read per file
-on the driver."""
+"""Readers.  Every reader scans a path or glob; CSV files are first grouped by their header."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lithosense import schema as S
@@ -39,33 +40,49 @@ def scan_channels(spark: SparkSession, samples: str, meta: str, fmt: str = "parq
     return data, facts
 
 
+def scan_csv(spark: SparkSession, path: str) -> DataFrame:
+    """CSV files as text columns, matched by name: a file may lack columns or have them in another order.
+
+    Spark gives all files of one read the first file's header.  So a first pass takes every
+    file's header line; files with one header are read together, and the groups are united
+    by name.  Rows keep their file and place (``_file, _block, _row``).
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    heads = lines.where("block = 0").withColumn("row", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "row").alias("head"))
+    layouts = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()
+    parts = [with_position(spark.read.option("header", True).csv(row["files"])) for row in layouts]
+    if not parts:
+        return with_position(spark.read.option("header", True).csv(path))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def scan_readings_wide(spark: SparkSession, path: str, fmt: str = "csv", start: str | None = None) -> DataFrame:
     """Wide sensor export with a resolved ``timestamp``.  CSV columns are read as
     text (header only, no inference pass) and typed where used."""
-    df = spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.parquet(path)
+    df = scan_csv(spark, path).drop(*POSITION) if fmt == "csv" else spark.read.parquet(path)
     return resolve_ts_columns(df, start)
 
 
-
 def scan_weather(spark: SparkSession, path: str) -> DataFrame:
     """Station records: text in, timestamp resolved, numbers typed, bad stamps dropped
     (use ``operators.filters.quarantine`` on ``resolve_weather_ts`` to keep them)."""
-    raw = spark.read.option("header", True).csv(path)
+    raw = scan_csv(spark, path).drop(*POSITION)
     return coerce_numeric(drop_null_ts(resolve_weather_ts(raw)))
 
 
 def scan_weather_dir(spark: SparkSession, path: str) -> DataFrame:
-    """All station CSVs of a folder: one scan, first record per instant in file order."""
-    raw = with_position(spark.read.option("header", True).csv(f"{path}/*.csv"))
+    """All station CSVs of a folder, columns by name, first record per instant in file order."""
+    raw = scan_csv(spark, f"{path}/*.csv")
     typed = drop_null_ts(resolve_weather_ts(raw))
     unique = dedup_first(typed, ["timestamp"], POSITION).drop(*POSITION)
     return coerce_numeric(unique)
 
 
-def scan_rollup(spark: SparkSession, root: str, level: str, kind: str = "temperature", skip_corrupt: bool = True, dedup: bool = True) -> DataFrame:
+def scan_rollup(spark: SparkSession, root: str, level: str, kind: str = "temperature", skip_corrupt: bool = False, dedup: bool = True, days: tuple[str, str] | None = None) -> DataFrame:
     """A stored level, first row per (time, series) in file order.
 
-    Layout is ``kind=/level=/day=``: filters on kind and level never list the
+    ``days`` (first, last) reads only those day partitions.  A damaged file is an error
+    unless ``skip_corrupt``.  Layout is ``kind=/level=/day=``: filters on kind and level never list the
     rest, filters on ``day`` prune partitions.
     """
     path = f"{root}/kind={kind}/level={level}"
@@ -74,6 +91,8 @@ def scan_rollup(spark: SparkSession, root: str, level: str, kind: str = "tempera
         .option("ignoreCorruptFiles", skip_corrupt)
         .parquet(path)
     )
+    if days:
+        df = df.where(F.col("day").between(F.to_date(F.lit(days[0])), F.to_date(F.lit(days[1]))))
     if not dedup:  # tables kept by write_rollup hold each key once
         return df.drop("day")
     return dedup_first(with_position(df), [S.AXIS[level], "series_id"], POSITION).drop("day", *POSITION)
@@ -81,7 +100,7 @@ def scan_rollup(spark: SparkSession, root: str, level: str, kind: str = "tempera
 
 def scan_rollup_csv(spark: SparkSession, folder: str, level: str, kind: str = "temperature", series: str = "sensor_id") -> DataFrame:
     """Statistics files ``{kind}_{level}_*.csv`` as earlier tools wrote them."""
-    raw = with_position(spark.read.option("header", True).csv(f"{folder}/{kind}_{level}_*.csv"))
+    raw = scan_csv(spark, f"{folder}/{kind}_{level}_*.csv")
     axis = S.AXIS[level]
     axis_type = "timestamp_ntz" if axis == "timestamp" else "date"
     first = dedup_first(raw, [axis, series], POSITION).drop(*POSITION)
@@ -101,7 +120,7 @@ def scan_section_tables(spark: SparkSession, root: str, fmt: str = "csv") -> dic
     out = {}
     for name, ddl in S.SECTION_TABLES.items():
         if fmt == "csv":
-            raw = spark.read.option("header", True).csv(f"{root}/{name}")
+            raw = scan_csv(spark, f"{root}/{name}")
             fields = spark.createDataFrame([], ddl).schema
             out[name] = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
         else:

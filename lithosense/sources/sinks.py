@@ -9,9 +9,6 @@ from lithosense.operators.joins import anti_existing
 from lithosense.operators.rollup import savable
 from lithosense.session import materialise
 
-# Partition values passed as a literal list; more than this are joined.
-MAX_LISTED = 5_000
-
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path holds anything, through the cluster's own file system layer."""
@@ -49,12 +46,25 @@ def write_rollup(df: DataFrame, root: str, level: str, kind: str = "temperature"
     return path
 
 
-def append_new_only(new: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Append rows whose key is not stored yet (stored rows win); returns them."""
+def one_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None, last: bool = True) -> DataFrame:
+    """One row per key (NULL keys equal each other): the last by ``order``, or the first.
+
+    Without ``order`` the place in the input decides, so ``df`` should then be a table.
+    """
+    rows = df.withColumn("_place", F.struct(*order) if order else F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
+    pick = (F.max_by if last else F.min_by)(F.struct(*df.columns), F.col("_place"))
+    return rows.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(pick.alias("_row")).select("_row.*")
+
+
+def append_new_only(new: DataFrame, path: str, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """Append rows whose key is not stored yet (stored rows win, then the first new one); returns them.
+
+    A second call with the same rows adds nothing.
+    """
     spark = new.sparkSession
-    fresh = new
+    fresh = one_per_key(materialise(new, "append-new"), keys, order, last=False)
     if exists(spark, path):
-        fresh = anti_existing(new, spark.read.schema(new.schema).parquet(path), keys)
+        fresh = anti_existing(fresh, spark.read.schema(new.schema).parquet(path), keys)
     # Written aside first: the rows are decided before the target changes.
     fresh = materialise(fresh, "append")
     fresh.write.mode("append").parquet(path)
@@ -62,29 +72,29 @@ def append_new_only(new: DataFrame, path: str, keys: list[str]) -> DataFrame:
 
 
 def merged(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows after an upsert: new rows replace stored ones with the same key."""
-    return existing.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
+    """Rows after an upsert: new rows replace stored ones with the same key (NULL keys equal each other)."""
+    return anti_existing(existing, new, keys).unionByName(new)
 
 
-def upsert(new: DataFrame, path: str, keys: list[str], partition: str) -> None:
+def upsert(new: DataFrame, path: str, keys: list[str], partition: str, order: list[str] | None = None) -> None:
     """Insert-or-replace by key, rewriting only the partitions ``new`` touches.
 
-    ``partition`` is one of the keys and the table's partition column.  The values
-    it has in ``new`` are looked up once and become a partition filter on the
-    stored table, so untouched partitions are neither read nor rewritten.
+    ``partition`` is one of the keys and the table's partition column.  Of several new rows
+    with one key the last by ``order`` (else by place in the input) counts.  Stored rows are
+    read by a semi-join on the touched partition values, which prunes partitions at run
+    time.  The rows to be written are staged whole before the target changes: a run that
+    breaks off while the target is overwritten is repaired by running it again.
     """
     spark = new.sparkSession
-    new = materialise(new, "upsert-new")  # decides the rows once, before the target changes
+    new = materialise(one_per_key(materialise(new, "upsert-in"), keys, order), "upsert-new")
     rows = new
     if exists(spark, path):
         stored = spark.read.parquet(path).select(*new.columns)
         touched = new.select(partition).distinct()
-        values = [r[0] for r in touched.limit(MAX_LISTED + 1).collect()]
-        if len(values) <= MAX_LISTED:
-            stored = stored.where(F.col(partition).isin(values))
-        else:  # a very wide backfill: decide by join instead of a list
-            stored = stored.join(touched, partition, "left_semi")
-        rows = materialise(merged(stored, new, keys), "upsert")  # a table cannot be read while it is overwritten
+        kept = stored.join(touched, partition, "left_semi").select(*new.columns)
+        if not touched.where(F.col(partition).isNull()).isEmpty():
+            kept = kept.unionByName(stored.where(F.col(partition).isNull()))
+        rows = materialise(merged(kept, new, keys), "upsert")  # a table cannot be read while it is overwritten
     (
         rows.hint("rebalance", partition)
         .write.mode("overwrite")
@@ -117,32 +127,38 @@ def archive_due(last_update: str | None, as_of: str, days: int = 7) -> bool:
 def archive_week(spark: SparkSession, root: str, archive_root: str, level: str, kind: str, week_start: str) -> DataFrame:
     """Move one closed week of a level out of the current table; returns its manifest.
 
-    Order of steps makes it repeatable: the copy is complete (and counted) before
-    the current partitions are dropped; a second run finds nothing left to move.
+    The copy is written, read back and counted against the source; only if both agree is
+    the manifest stored (``<archive_root>/manifest``) and are the source's days dropped.  A
+    second run finds nothing left to move and returns the stored manifest; a week without
+    rows has an empty one.
     """
     path = f"{root}/kind={kind}/level={level}"
     target = f"{archive_root}/kind={kind}/level={level}/week_start={week_start}"
+    record = f"{archive_root}/manifest/kind={kind}/level={level}/week_start={week_start}"
     first = F.to_date(F.lit(week_start))
-    week = spark.read.schema(S.ROLLUP[level] + ", day DATE").parquet(path).where(
-        F.col("day").between(first, F.date_add(first, 6))
-    )
-    days = [r["day"] for r in week.select("day").distinct().collect()]  # at most 7 values
+    stored = S.ARCHIVE_INFO
+    days: list = []
+    if exists(spark, path):
+        week = spark.read.schema(S.ROLLUP[level] + ", day DATE").parquet(path).where(F.col("day").between(first, F.date_add(first, 6)))
+        counted = {r["day"]: r["count"] for r in week.groupBy("day").count().collect()}  # at most 7 values
+        days = list(counted)
     if days:
-        week.write.mode("overwrite").partitionBy("day").parquet(target)
-    files = (
-        spark.read.schema(S.ROLLUP[level]).parquet(target)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
-        .groupBy("path")
-        .agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("rows"))
-    )
-    manifest = files.agg(F.sum("size").alias("file_size"), F.sum("rows").alias("rows")).select(
-        first.alias("interval_start"),
-        F.date_add(first, 6).alias("interval_end"),
-        F.lit(target).alias("path"),
-        F.coalesce("file_size", F.lit(0)).cast("bigint").alias("file_size"),
-        F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
-        F.lit("COMPLETED").alias("status"),
-    )
-    for day in days:
-        delete_path(spark, f"{path}/day={day.isoformat()}")
-    return manifest
+        week.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target)
+        copy = spark.read.schema(S.ROLLUP[level] + ", day DATE").parquet(target)
+        copied = {r["day"]: r["count"] for r in copy.groupBy("day").count().collect()}
+        if any(copied.get(day) != n for day, n in counted.items()):
+            raise RuntimeError(f"the copy of week {week_start} does not hold the rows of {path}; nothing was deleted")
+        files = copy.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).groupBy("file").agg(
+            F.max("size").alias("size"), F.count(F.lit(1)).alias("rows")
+        )
+        files.agg(F.sum("size").alias("file_size"), F.sum("rows").alias("rows")).select(
+            first.alias("interval_start"),
+            F.date_add(first, 6).alias("interval_end"),
+            F.lit(target).alias("path"),
+            F.col("file_size").cast("bigint"),
+            F.col("rows").cast("bigint"),
+            F.lit("COMPLETED").alias("status"),
+        ).coalesce(1).write.mode("overwrite").parquet(record)
+        for day in days:
+            delete_path(spark, f"{path}/day={day.isoformat()}")
+    return spark.read.schema(stored).parquet(record) if exists(spark, record) else spark.createDataFrame([], stored)

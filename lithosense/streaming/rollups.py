@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lithosense.constants import ZERO_THRESHOLD
-from lithosense.functions.stats import pooled_std
+from lithosense.operators.rollup import coarse_stats, named, rollup_15min
 from lithosense.session import scratch_path
 from lithosense.sources.sinks import upsert
 
@@ -53,13 +53,10 @@ def stream_hourly(
     readings: DataFrame, delay: str = "1 hour", threshold: float | None = ZERO_THRESHOLD, null_std: str = "propagate"
 ) -> DataFrame:
     """Hours from closed quarters within one query (chained windows)."""
-    hours = (
+    hours = named(
         _fifteen(readings, delay, threshold)
         .groupBy(F.window(F.window_time("w"), "1 hour").alias("h"), "series_id")
-        .agg(
-            F.avg("mean").alias("mean"), F.min("min").alias("min"), F.max("max").alias("max"),
-            pooled_std(null_std=null_std).alias("std"), F.sum("count").alias("count"),
-        )
+        .agg(*coarse_stats(null_std))
     )
     return _flat(hours.withColumnRenamed("h", "w"))
 
@@ -71,6 +68,16 @@ def stream_dedup(readings: DataFrame, delay: str = "1 hour", keys: tuple[str, ..
     )
 
 
+def close_15min(closed: DataFrame, readings: DataFrame, threshold: float | None = ZERO_THRESHOLD) -> DataFrame:
+    """All 15-minute rows once the stream has ended: those it emitted, and the buckets still open.
+
+    The open buckets are rolled up in batch from the readings; store the result with
+    ``sinks.write_rollup``, which replaces whole days.
+    """
+    whole = rollup_15min(readings, threshold=threshold)
+    return closed.unionByName(whole.join(closed.select("timestamp", "series_id"), ["timestamp", "series_id"], "left_anti").select(*closed.columns))
+
+
 def _large_state(spark: SparkSession) -> None:
     """Keep operator state in RocksDB: on local disk with changelog checkpoints in the
     shared folder, instead of in executor heap."""
@@ -81,11 +88,16 @@ def _large_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
-def run_to_table(stream: DataFrame, label: str, path: str | None = None, mode: str = "append") -> DataFrame:
-    """Process everything available, write to a Parquet table, and return that table.
+def checkpoint_of(path: str) -> str:
+    """The checkpoint that belongs to a target table."""
+    return f"{path.rstrip('/')}.checkpoint"
+
+
+def run_to_table(stream: DataFrame, label: str, path: str | None = None, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
+    """Process everything new, write to a Parquet table, and return that table.
 
-    The checkpoint lives in the shared scratch folder, so a lost executor or a
-    restarted driver resumes where it stopped.
+    The checkpoint lies beside the table unless given: a later run on the same ``path``
+    goes on where the last one stopped, also after the driver was lost.
     """
     spark = stream.sparkSession
     _large_state(spark)
@@ -93,7 +105,7 @@ def run_to_table(stream: DataFrame, label: str, path: str | None = None, mode: s
     query = (
         stream.writeStream.format("parquet").outputMode(mode)
         .option("path", path)
-        .option("checkpointLocation", scratch_path(spark, f"{label}-checkpoint"))
+        .option("checkpointLocation", checkpoint or checkpoint_of(path))
         .trigger(availableNow=True)
         .start()
     )
@@ -101,9 +113,10 @@ def run_to_table(stream: DataFrame, label: str, path: str | None = None, mode: s
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def run_upsert(stream: DataFrame, path: str, keys: list[str], partition: str, label: str = "upsert", prepare: Callable | None = None) -> None:
+def run_upsert(stream: DataFrame, path: str, keys: list[str], partition: str, prepare: Callable | None = None, checkpoint: str | None = None) -> None:
     """Replace-by-key per micro-batch.  Re-running a batch after a failure gives the
-    same table, because an upsert of the same rows changes nothing."""
+    same table, because an upsert of the same rows changes nothing.  The checkpoint lies
+    beside the table unless given, so a later run takes new input only."""
     def apply(batch: DataFrame, _: int) -> None:
         rows = prepare(batch) if prepare else batch
         upsert(rows, path, keys, partition)
@@ -112,7 +125,7 @@ def run_upsert(stream: DataFrame, path: str, keys: list[str], partition: str, la
     _large_state(spark)
     (
         stream.writeStream.foreachBatch(apply).outputMode("update")
-        .option("checkpointLocation", scratch_path(spark, f"{label}-checkpoint"))
+        .option("checkpointLocation", checkpoint or checkpoint_of(path))
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
