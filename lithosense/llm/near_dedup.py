@@ -6,12 +6,12 @@ filled one, chosen by fixed priorities, so equal registers stay as likely as the
 similar, for short texts too.  Bands of five registers propose links.
 
 Texts with equal sets are one class from the start; only class representatives go on.  In
-every band bucket each member is held against one centre; what this links is joined into
-components, and only members of different components are looked at again, until in the
-last step all such pairs of a bucket are.  So big groups of near copies cost one
-comparison a member, and no link is lost.  A pair first passes the collision-corrected
-estimate from the registers (with a wide margin), then the exact comparison of both whole
-sets.
+every band bucket each member is held against one centre, the member that meets most
+others, and what this links is joined into components.  So a big group of near copies
+costs one comparison a member.  Of the members that stay apart, only those pairs are
+looked at again that can be linked given what each shares with the centre; no link is
+lost.  A pair first passes the collision-corrected estimate from the registers (with a
+wide margin), then the exact comparison of both whole sets.
 
 A pair at similarity 0.8 shares none of the 40 bands with probability 2e-7.
 
@@ -118,8 +118,8 @@ def _bands(representatives: DataFrame) -> DataFrame:
     return representatives.select("id", "regs").mapInArrow(run, "key bigint, id bigint")
 
 
-def _likely(pairs: DataFrame, representatives: DataFrame, threshold: int) -> DataFrame:
-    """Pairs whose estimated similarity does not rule them out."""
+def _estimated(pairs: DataFrame, regs: DataFrame, threshold: int) -> DataFrame:
+    """``a, b, near``: whether the estimated similarity leaves a chance that the pair is linked."""
     least = threshold / 100 - MARGIN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,36 +127,79 @@ def _likely(pairs: DataFrame, representatives: DataFrame, threshold: int) -> Dat
             for start in range(0, batch.num_rows, 4096):
                 part = batch.slice(start, 4096)
                 a, b = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(part.num_rows, BUCKETS) for c in ("ra", "rb"))
-                keep = pa.array(estimate(a, b) >= least)
-                yield part.select(["a", "b"]).filter(keep)
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(estimate(a, b) >= least)], names=["a", "b", "near"])
 
-    regs = representatives.select("id", "n_shingles", "regs")
-    sized = pairs.join(regs.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("regs").alias("rb")), "b").join(
-        regs.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("regs").alias("ra")), "a"
+    known = regs.select("id", "regs")
+    both = pairs.join(known.select(F.col("id").alias("b"), F.col("regs").alias("rb")), "b").join(
+        known.select(F.col("id").alias("a"), F.col("regs").alias("ra")), "a"
     )
-    fits = sized.filter(100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
-    return fits.select("a", "b", "ra", "rb").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "ra", "rb").mapInArrow(run, "a bigint, b bigint, near boolean")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
-    """Pairs whose whole sets meet the threshold."""
+def _compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``a, b, na, nb, both, outside``: sizes of the whole sets and their overlap, and what only ``b`` has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 left, right = ([s for _, c in chunks(part.column(n)) for s in shingle_sets(c, width)] for n in ("ta", "tb"))
-                both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)]
-                keep = [100 * n >= threshold * (len(x) + len(y) - n) for n, x, y in zip(both, left, right)]
-                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                outside = [np.setdiff1d(y, x, assume_unique=True) for x, y in zip(left, right)]
+                sizes = [[len(x) for x in left], [len(y) for y in right], [len(y) - len(o) for y, o in zip(right, outside)]]
+                flat = np.concatenate([np.zeros(0, np.uint64), *outside]).view(np.int64)
+                ends = np.concatenate([[0], np.cumsum([len(o) for o in outside])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("a"), part.column("b"), *(pa.array(n, pa.int64()) for n in sizes), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                    names=["a", "b", "na", "nb", "both", "outside"],
+                )
 
     whole = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(
         texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a"
     )
-    return whole.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
+    return whole.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, both bigint, outside array<bigint>")
+
 
+def _remaining(open_bands: DataFrame, estimated: DataFrame, compared: DataFrame, label: DataFrame, threshold: int) -> DataFrame:
+    """``a, b``: pairs of different components that may be linked although their centre did not join them.
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: int = 80, rounds: int = 2) -> DataFrame:
+    Let both members of a pair be near centre C, sharing ``i`` and ``j`` shingles with it, and
+    ``t`` shingles with each other that C has not.  They share at most ``min(i, j) + t``.  So
+    they either share some shingle outside of C (an equi-join on it, counted), or are linked
+    by ``min(i, j)`` alone, which limits the partner's size to a few values (an equi-join on
+    those).  One of the two is itself not linked to C.  If one is far from C, the other is
+    not close to it, and their band buckets pair them.
+    """
+    t, all_ = threshold, 100 + threshold
+    centred = compared.select(F.col("a").alias("c"), F.col("b").alias("id"), F.col("nb").alias("n"), F.col("both").alias("i"), F.col("na").alias("nc"), "outside")
+    centred = centred.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    x = centred.filter(all_ * F.col("i") < t * (F.col("n") + F.col("nc"))).select("c", F.col("id").alias("a"), F.col("n").alias("n1"), F.col("i").alias("i1"), F.col("component").alias("p"), "outside")
+    y = centred.select("c", F.col("id").alias("b"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("component").alias("q"), "outside")
+    different = (F.col("p") != F.col("q")) & (all_ * F.least("n1", "n2") >= t * (F.col("n1") + F.col("n2")))
+    shared = (
+        x.withColumn("s", F.explode("outside")).drop("outside")
+        .join(y.withColumn("s", F.explode("outside")).drop("outside"), ["c", "s"])
+        .filter(different)
+        .groupBy("c", "a", "b", "n1", "n2", "i1", "i2")
+        .agg(F.count(F.lit(1)).alias("t"))
+        .filter(all_ * (F.least("i1", "i2") + F.col("t")) >= t * (F.col("n1") + F.col("n2")))
+    )
+    low, high = F.ceil(t * F.col("n1") / 100), F.floor(all_ * F.col("i1") / t) - F.col("n1")
+    sized = (
+        x.drop("outside").filter(low <= high).withColumn("n2", F.explode(F.sequence(low, high)))
+        .join(y.drop("outside"), ["c", "n2"])
+        .filter(different & (all_ * F.least("i1", "i2") >= t * (F.col("n1") + F.col("n2"))))
+    )
+    bands = open_bands.join(label, "id", "left").select("key", "centre", "id", F.coalesce("component", "id").alias("component"))
+    known = compared.select(F.col("a").alias("centre"), F.col("b").alias("id"), (10 * F.col("both") > 9 * (F.col("na") + F.col("nb") - F.col("both"))).alias("close"))
+    far = estimated.filter("NOT near").select(F.col("a").alias("centre"), F.col("b").alias("id"))
+    far_rows = bands.join(far, ["centre", "id"]).select("key", F.col("id").alias("a"), F.col("component").alias("p"))
+    other = bands.filter("id <> centre").join(known.filter("close"), ["centre", "id"], "left_anti").select("key", F.col("id").alias("b"), F.col("component").alias("q"))
+    apart = far_rows.join(other, "key").filter("p <> q")
+    pairs = shared.select("a", "b").unionByName(sized.select("a", "b")).unionByName(apart.select("a", "b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: int = 80) -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id, kept``.
 
     Documents are linked when ``100 * |A ∩ B| >= threshold * |A ∪ B|`` for their sets of
@@ -166,43 +209,33 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     usable = sketched.filter("regs IS NOT NULL AND id IS NOT NULL")
     classes = usable.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("rep"))
     # an id with several rows may stand for several classes: the rows are joined by their id
-    representatives = usable.join(classes, ["f1", "f2", "n_shingles"]).filter("id = rep").groupBy("id", "f1", "f2").agg(F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs")).drop("f1", "f2")
+    in_class = usable.join(classes, ["f1", "f2", "n_shingles"])
+    representatives = in_class.filter("id = rep").groupBy("id", "f1", "f2").agg(F.first("regs").alias("regs"))
     bands = _bands(representatives)
-    shared = bands.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
-    open_bands = written(bands.join(shared.select("key"), "key"), "bands")
-    wanted = open_bands.select("id").distinct()
-    texts = written(
-        df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi"), "texts"
-    )
-    regs = written(representatives.join(wanted, "id", "left_semi"), "registers")
-
-    found = None
-    labelled = open_bands.withColumn("component", F.col("id"))
-    for turn in range(rounds + 1):
-        # the centre of a bucket: by another order in every turn
-        order = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
-        by_key = labelled.groupBy("key").agg(
-            F.min_by("id", order).alias("centre"), F.min_by("component", order).alias("of"), F.min("component").alias("low"), F.max("component").alias("high")
-        ).filter("low < high")
-        if turn < rounds:
-            pairs = labelled.join(by_key, "key").filter("component <> of").select(F.col("centre").alias("a"), F.col("id").alias("b"))
-        else:
-            still = labelled.join(by_key.select("key"), "key")
-            other = still.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-            pairs = still.join(other, "key").filter("id < b AND component <> cb").select(F.col("id").alias("a"), "b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = written(_confirmed(_likely(pairs, regs, threshold), texts, width, threshold).distinct(), "confirmed")
-        found = links if found is None else found.unionByName(links)
-        joined = components(found)
-        labelled = written(
-            open_bands.join(joined, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "bands"
-        ) if turn < rounds else labelled
-
-    same_id = usable.join(classes, ["f1", "f2", "n_shingles"]).filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    labels = components(found.unionByName(same_id))
-    out = sketched.join(labels, "id", "left")
+    shared = bands.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members")).filter("low < high")
+    members = written(bands.join(shared.select("key", "members"), "key"), "bands")
+    degrees = members.groupBy("id").agg(F.sum("members").alias("degree"))
+    wanted = degrees.select("id")
+    texts = written(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi"), "texts")
+    regs = written(representatives.join(wanted, "id", "left_semi").select("id", "regs"), "registers")
+
+    # the centre of a bucket is its member with the most company: the original among its near copies
+    centres = members.join(degrees, "id").groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("minus"))).alias("best"))
+    open_bands = written(members.join(centres, "key").select("key", "id", (-F.col("best.minus")).alias("centre")), "open-bands")
+    star = open_bands.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    estimated = written(_estimated(star, regs, threshold), "estimates")
+    compared = written(_compared(estimated.filter("near"), texts, width), "compared")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return pairs.filter(100 * F.col("both") >= threshold * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+
+    label = written(components(linked(compared)), "labels")
+    rest = _estimated(written(_remaining(open_bands, estimated, compared, label, threshold), "remaining"), regs, threshold)
+    late = written(linked(_compared(rest.filter("near"), texts, width)), "late-links")
+    same_id = in_class.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    labels = components(linked(compared).unionByName(late).unionByName(same_id))
     component = F.coalesce("component", "id")
-    return out.select(
+    return sketched.join(labels, "id", "left").select(
         F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
     )
 
