@@ -30,20 +30,33 @@ def channel_lengths(samples: DataFrame) -> DataFrame:
     )
 
 
+def with_ordinals(lengths: DataFrame, meta: DataFrame) -> DataFrame:
+    """Lengths with each channel's place in its file (one row per channel, so a small join)."""
+    places = meta.groupBy(*CHANNEL).agg(F.min("ordinal").alias("ordinal"))
+    return lengths.join(places, list(CHANNEL), "left")
+
+
 def pick_time_channel(lengths: DataFrame, name: str = "Time") -> DataFrame:
-    """Per file, the channel called ``name`` with the most points (first on ties)."""
+    """Per file, the channel called ``name`` with the most points; of equals the first in the
+    file (by ``ordinal`` if known, then by group name)."""
+    facts = [c for c in ("grp", "channel", "n", "low", "high", "ordinal") if c in lengths.columns]
+    place = [F.coalesce("ordinal", F.lit(2**31 - 1)).alias("place")] if "ordinal" in facts else []
     return (
         lengths.where(F.col("channel") == name)
         .groupBy("file")
-        .agg(
-            F.min_by(
-                F.struct("grp", "channel", "n", "low", "high"), F.struct(-F.col("n"), "grp")
-            ).alias("t")
-        )
+        .agg(F.min_by(F.struct(*facts), F.struct((-F.col("n")).alias("m"), *place, "grp")).alias("t"))
         .select("file", "t.*")
     )
 
 
+def last_of_name(lengths: DataFrame) -> DataFrame:
+    """Of a file's channels with one name in several groups, the last in the file."""
+    if "ordinal" not in lengths.columns:
+        return lengths
+    last = lengths.groupBy("file", "channel").agg(F.max_by("grp", F.struct(F.coalesce("ordinal", F.lit(-1)).alias("place"), "grp")).alias("grp"))
+    return lengths.join(last, list(CHANNEL), "left_semi")
+
+
 def drop_bad_channels(lengths: DataFrame, name: str = "Time") -> DataFrame:
     """Value channels that have points, all of them numeric."""
     return lengths.where((F.col("channel") != name) & (F.col("n") > 0) & (F.col("numeric") == F.col("n")))
@@ -63,8 +76,8 @@ def regrid_linear(samples: DataFrame, lengths: DataFrame, clock: DataFrame, slic
     (y_i, y_i+1) of its channel on (channel, i), which is unique per key.
     """
     n = F.col("n")
-    good = drop_bad_channels(lengths).select(*CHANNEL, n)
-    extra = [c for c in clock.columns if c not in (*CHANNEL, "n", "low", "high")]
+    good = last_of_name(drop_bad_channels(lengths)).select(*CHANNEL, n)
+    extra = [c for c in clock.columns if c not in (*CHANNEL, "n", "low", "high", "ordinal")]
     grid = (
         samples.where(F.col("channel") == clock_name)
         .join(clock.select(*CHANNEL), list(CHANNEL), "left_semi")
@@ -118,7 +131,7 @@ def start_of_file(meta: DataFrame) -> DataFrame:
 
 def readings_from_channels(samples: DataFrame, meta: DataFrame, slice_rows: int = 65_536) -> DataFrame:
     """Whole channel ingest: choose the clock, drop bad channels, regrid, stamp."""
-    lengths = channel_lengths(samples)
+    lengths = with_ordinals(channel_lengths(samples), meta)
     clock = pick_time_channel(lengths)
     # The start instant joins the one-row-per-file clock, not the readings.
     grid = regrid_linear(samples, lengths, clock.join(start_of_file(meta), "file"), slice_rows)

@@ -130,21 +130,22 @@ class Tables:
         co = self._co()
         key = ["STATE_CODE", "SHRP_ID", "YEAR"]
         price = F.col("o_totalprice")
-        yearly = lambda cond, *aggs: co.where(cond).groupBy(*key).agg(*aggs)
-        urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM")
-        precip = yearly(urgent, F.round(F.avg(price) / 1000 + 1.7e-9, 6).alias("TOTAL_ANN_PRECIP"))
+        # every order counts in every table; keys without a partner come from shifted years
+        yearly = lambda shift, *aggs: co.withColumn("YEAR", F.col("YEAR") + shift).groupBy(*key).agg(*aggs)
+        some = (F.col("STATE_CODE") % 3 == 0).cast("int")
+        precip = yearly(F.lit(0), F.round(F.avg(price) / 1000 + 1.7e-9, 6).alias("TOTAL_ANN_PRECIP"))
         temp = yearly(
-            F.col("o_orderstatus") != "F",
+            some,
             F.count(F.lit(1)).cast("double").alias("FREEZE_INDEX_YR"), F.round(F.avg(price) / 9000 + 1.7e-9, 6).alias("MEAN_ANN_TEMP_AVG"),
             (F.max(price) / 9000).alias("MAX_ANN_TEMP_AVG"), (F.min(price) / 9000).alias("MAX_ANN_TEMP_DAYS"),
             F.max(F.col("o_orderkey") % 60).cast("double").alias("DAYS_ABOVE_32_C_YR"),
         )
         kesal = F.round(F.sum(price) / 10000 + 1.7e-9, 4).alias("ANL_KESAL_LTPP_LN_YR")
-        hist = yearly(F.col("YEAR") % 2 == 0, kesal, F.max("o_orderkey").cast("double").alias("AADT_ALL_VEHIC_2WAY"),
+        hist = yearly(some * 2, kesal, F.max("o_orderkey").cast("double").alias("AADT_ALL_VEHIC_2WAY"),
                       F.min("o_orderkey").cast("double").alias("AADT_TRUCK_COMBO_2WAY")).withColumnRenamed("YEAR", "YEAR_HIST_EST")
-        mon = yearly(F.col("YEAR") % 3 != 0, kesal, F.max("o_orderkey").cast("double").alias("AADT_ALL_VEHIC"),
+        mon = yearly(-some, kesal, F.max("o_orderkey").cast("double").alias("AADT_ALL_VEHIC"),
                      F.min("o_orderkey").cast("double").alias("AADT_TRUCK_COMBO")).withColumnRenamed("YEAR", "YEAR_MON_EST")
-        survey = co.where(F.col("o_orderstatus") == "O").select(
+        survey = co.select(
             "STATE_CODE", "SHRP_ID", "CONSTRUCTION_NO", F.col("DAY_TEXT").alias("SURVEY_DATE"),
             (price / 20000).alias("MAX_MEAN_DEPTH_1_8"),
         )
@@ -219,6 +220,8 @@ def _pooled(src: str, bucket: str, name: str, zero: bool, extra: str = "") -> st
 _DAY, _WEEK = 'CAST("timestamp" AS DATE)', "CAST(date_trunc('week', date) AS DATE)"
 _RANGE = ", max(max) - min(min) AS temp_range"
 
+_SOME = "(STATE_CODE % 3 = 0)::INT"
+
 # name -> (needs, SQL)
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "readings": ((), "SELECT ts AS \"timestamp\", 'S' || (user_id % 25) AS series_id, value, event_id FROM events"),
@@ -271,29 +274,28 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "precip": (
         ("co",),
-        "SELECT STATE_CODE, SHRP_ID, YEAR, round(avg(o_totalprice) / 1000 + 1.7e-9, 6) AS TOTAL_ANN_PRECIP FROM co "
-        "WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 1, 2, 3",
+        "SELECT STATE_CODE, SHRP_ID, YEAR, round(avg(o_totalprice) / 1000 + 1.7e-9, 6) AS TOTAL_ANN_PRECIP FROM co GROUP BY 1, 2, 3",
     ),
     "temp": (
         ("co",),
-        "SELECT STATE_CODE, SHRP_ID, YEAR, count(*)::DOUBLE AS FREEZE_INDEX_YR, round(avg(o_totalprice) / 9000 + 1.7e-9, 6) AS MEAN_ANN_TEMP_AVG, "
+        f"SELECT STATE_CODE, SHRP_ID, YEAR + {_SOME} AS YEAR, count(*)::DOUBLE AS FREEZE_INDEX_YR, round(avg(o_totalprice) / 9000 + 1.7e-9, 6) AS MEAN_ANN_TEMP_AVG, "
         "max(o_totalprice) / 9000 AS MAX_ANN_TEMP_AVG, min(o_totalprice) / 9000 AS MAX_ANN_TEMP_DAYS, "
-        "max(o_orderkey % 60)::DOUBLE AS DAYS_ABOVE_32_C_YR FROM co WHERE o_orderstatus <> 'F' GROUP BY 1, 2, 3",
+        "max(o_orderkey % 60)::DOUBLE AS DAYS_ABOVE_32_C_YR FROM co GROUP BY 1, 2, 3",
     ),
     "traffic_hist": (
         ("co",),
-        "SELECT STATE_CODE, SHRP_ID, YEAR, round(sum(o_totalprice) / 10000 + 1.7e-9, 4) AS ANL_KESAL_LTPP_LN_YR, max(o_orderkey)::DOUBLE AS AADT_ALL_VEHIC_2WAY, "
-        "min(o_orderkey)::DOUBLE AS AADT_TRUCK_COMBO_2WAY FROM co WHERE YEAR % 2 = 0 GROUP BY 1, 2, 3",
+        f"SELECT STATE_CODE, SHRP_ID, YEAR + 2 * {_SOME} AS YEAR, round(sum(o_totalprice) / 10000 + 1.7e-9, 4) AS ANL_KESAL_LTPP_LN_YR, max(o_orderkey)::DOUBLE AS AADT_ALL_VEHIC_2WAY, "
+        "min(o_orderkey)::DOUBLE AS AADT_TRUCK_COMBO_2WAY FROM co GROUP BY 1, 2, 3",
     ),
     "traffic_mon": (
         ("co",),
-        "SELECT STATE_CODE, SHRP_ID, YEAR, round(sum(o_totalprice) / 10000 + 1.7e-9, 4) AS ANL_KESAL_LTPP_LN_YR, max(o_orderkey)::DOUBLE AS AADT_ALL_VEHIC, "
-        "min(o_orderkey)::DOUBLE AS AADT_TRUCK_COMBO FROM co WHERE YEAR % 3 <> 0 GROUP BY 1, 2, 3",
+        f"SELECT STATE_CODE, SHRP_ID, YEAR - {_SOME} AS YEAR, round(sum(o_totalprice) / 10000 + 1.7e-9, 4) AS ANL_KESAL_LTPP_LN_YR, max(o_orderkey)::DOUBLE AS AADT_ALL_VEHIC, "
+        "min(o_orderkey)::DOUBLE AS AADT_TRUCK_COMBO FROM co GROUP BY 1, 2, 3",
     ),
     "traffic": (("traffic_hist", "traffic_mon"), "SELECT * FROM traffic_hist UNION ALL BY NAME SELECT * FROM traffic_mon"),
     "section_survey": (
         ("co",),
-        "SELECT STATE_CODE, SHRP_ID, CONSTRUCTION_NO, DAY_TEXT AS SURVEY_DATE, o_totalprice / 20000 AS MAX_MEAN_DEPTH_1_8, YEAR FROM co WHERE o_orderstatus = 'O'",
+        "SELECT STATE_CODE, SHRP_ID, CONSTRUCTION_NO, DAY_TEXT AS SURVEY_DATE, o_totalprice / 20000 AS MAX_MEAN_DEPTH_1_8, YEAR FROM co",
     ),
     "li": (("co",), "SELECT * FROM lineitem JOIN co ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"),
     "lab_test": (

@@ -46,6 +46,25 @@ def _(t):
     return I.pick_time_channel(I.channel_lengths(channel_samples(t)))
 
 
+@query("pick_time_channel_tie", sql("SELECT file, 'A9' AS grp, 'Time' AS channel, count(*) AS n, min(t) AS low, max(t) AS high FROM clk GROUP BY file", **_SAMPLES))
+def _(t):
+    """Two clocks of one length: the first in file order counts, whatever its group is called."""
+    s = channel_samples(t).where(F.col("grp") == "G1")
+    clocks = s.where(F.col("channel") == "Time")
+    s = s.where(F.col("channel") != "Time").unionByName(clocks.withColumn("grp", F.lit("A9"))).unionByName(clocks.withColumn("grp", F.lit("A1")))
+    order = s.select("file", "grp", "channel").distinct().withColumn("ordinal", F.when(F.col("grp") == "A9", 1).otherwise(2))
+    return I.pick_time_channel(I.with_ordinals(I.channel_lengths(s), order)).drop("ordinal")
+
+
+@query("last_of_name", sql("SELECT file, 'A0' AS grp, channel, count(*) AS n FROM vals GROUP BY 1, 3", **_SAMPLES))
+def _(t):
+    """Every value channel twice under one name: the last in file order counts."""
+    s = channel_samples(t).where((F.col("grp") == "G1") & (F.col("channel") != "note"))
+    s = s.unionByName(s.withColumn("grp", F.lit("A0")))
+    order = s.select("file", "grp", "channel").distinct().withColumn("ordinal", F.when(F.col("grp") == "A0", 7).otherwise(3))
+    return I.last_of_name(I.drop_bad_channels(I.with_ordinals(I.channel_lengths(s), order))).select("file", "grp", "channel", "n")
+
+
 @query("drop_bad_channels", sql("SELECT file, grp, channel, count(*) AS n FROM vals GROUP BY 1, 2, 3", **_SAMPLES))
 def _(t):
     return I.drop_bad_channels(I.channel_lengths(channel_samples(t))).select("file", "grp", "channel", "n")
@@ -192,9 +211,9 @@ def _(t):
     return I.identify_series_long(names, known=("Brand#2",))
 
 
-@query("enrich_sensor", sql("SELECT event_id, \"timestamp\", series_id, round(value, 2) AS value, depth, layer FROM readings JOIN dim ON series_id = sensor_id WHERE layer = 'BASE'", "readings", "dim"))
+@query("enrich_sensor", sql("SELECT event_id, \"timestamp\", series_id, round(value, 2) AS value, depth, layer FROM readings JOIN dim ON series_id = sensor_id", "readings", "dim"))
 def _(t):
-    return I.enrich_sensor(t.readings(), t.dim().where(F.col("layer") == "BASE"))
+    return I.enrich_sensor(t.readings(), t.dim())
 
 
 @query("profile", sql("SELECT min(ts) AS first_ts, max(ts) AS last_ts, count(DISTINCT ts) AS distinct_ts, count(value) AS n_value, count(CASE WHEN event_id % 3 = 0 THEN value END) AS n_third FROM events"))

@@ -143,21 +143,15 @@ def _(t):
     return joins.join_dim(t.readings().drop("event_id"), dim)
 
 
-@query("latest_readings_view", sql("""SELECT sensor_id, sensor_type, layer, depth,
-    CASE sensor_type WHEN 'TEMPERATURE' THEN (SELECT value FROM f WHERE k = 'view' AND series_id = sensor_id ORDER BY ts DESC LIMIT 1)
-      WHEN 'PRESSURE' THEN (SELECT value FROM f WHERE k = 'click' AND series_id = sensor_id ORDER BY ts DESC LIMIT 1)
-      WHEN 'STRAIN' THEN (SELECT value FROM f WHERE k = 'error' AND series_id = sensor_id ORDER BY ts DESC LIMIT 1)
-      WHEN 'MOISTURE' THEN (SELECT value FROM f WHERE k = 'signup' AND series_id = sensor_id AND ts < TIMESTAMP '2024-01-01 12:00:00' ORDER BY ts DESC LIMIT 1) END AS latest_value,
-    CASE sensor_type WHEN 'TEMPERATURE' THEN (SELECT max(ts) FROM f WHERE k = 'view' AND series_id = sensor_id)
-      WHEN 'PRESSURE' THEN (SELECT max(ts) FROM f WHERE k = 'click' AND series_id = sensor_id)
-      WHEN 'STRAIN' THEN (SELECT max(ts) FROM f WHERE k = 'error' AND series_id = sensor_id)
-      WHEN 'MOISTURE' THEN (SELECT max(ts) FROM f WHERE k = 'signup' AND series_id = sensor_id AND ts < TIMESTAMP '2024-01-01 12:00:00') END AS latest_timestamp, units
-    FROM dim WHERE is_active""", "dim", f="SELECT event_type AS k, 'S' || (user_id % 25) AS series_id, ts, value FROM events"))
-def _(t):
-    ev = t.events.select(F.concat(F.lit("S"), F.col("user_id") % 25).alias("series_id"), F.col("ts").alias("timestamp"), "value", F.col("event_id").alias("reading_id"), "event_type")
-    of = lambda k: ev.where(F.col("event_type") == k)
-    facts = {"TEMPERATURE": of("view"), "PRESSURE": of("click"), "STRAIN": of("error"),
-             "MOISTURE": of("signup").where(F.col("timestamp") < F.lit("2024-01-01 12:00:00").cast("timestamp_ntz"))}
+@query("latest_readings_view", sql("""SELECT sensor_id, sensor_type, layer, depth, latest_value, latest_timestamp, units FROM dim
+    LEFT JOIN (SELECT kind, series_id, arg_max(value, (ts, event_id)) AS latest_value, max(ts) AS latest_timestamp FROM f GROUP BY 1, 2) ON kind = sensor_type AND series_id = sensor_id
+    WHERE is_active""", "dim", f="""SELECT CASE event_type WHEN 'view' THEN 'TEMPERATURE' WHEN 'click' THEN 'PRESSURE' WHEN 'error' THEN 'STRAIN' ELSE 'MOISTURE' END AS kind,
+    'S' || (user_id % 30) AS series_id, ts, value, event_id FROM events"""))
+def _(t):
+    """All events are facts; some series are no sensors, and some sensors have no facts."""
+    ev = t.events.select(F.concat(F.lit("S"), F.col("user_id") % 30).alias("series_id"), F.col("ts").alias("timestamp"), "value", F.col("event_id").alias("reading_id"), "event_type")
+    of = lambda *k: ev.where(F.col("event_type").isin(*k))
+    facts = {"TEMPERATURE": of("view"), "PRESSURE": of("click"), "STRAIN": of("error"), "MOISTURE": of("signup", "purchase")}
     return views.latest_readings(t.dim(), facts)
 
 
@@ -190,11 +184,12 @@ def _(t):
     return rnd(joins.join_on_day(a, b, "d1", "d2").drop("d1", "d2"))
 
 
-@query("semi_dates", sql(f"SELECT {columns(*TS)} FROM wh WHERE CAST(\"timestamp\" AS DATE) IN (SELECT CAST(\"timestamp\" AS DATE) FROM th WHERE series_id = 'S1' GROUP BY 1 HAVING count(DISTINCT \"timestamp\") >= 9)", "wh", "th"))
+@query("semi_dates", sql(f"SELECT {columns(*TS)} FROM wh WHERE CAST(\"timestamp\" AS DATE) IN (SELECT date FROM (SELECT CAST(\"timestamp\" AS DATE) AS date, series_id FROM th GROUP BY 1, 2 HAVING count(DISTINCT \"timestamp\") >= 9) GROUP BY 1 HAVING count(*) >= 8)", "wh", "th"))
 def _(t):
+    """Station hours on days when at least eight sensors were complete."""
     from lithosense.operators.rollup import day_completeness
 
-    complete = day_completeness(th(t).where(F.col("series_id") == "S1"), 9)
+    complete = day_completeness(th(t), 9).groupBy("date").agg(F.count(F.lit(1)).alias("sensors")).where("sensors >= 8")
     weather = w(t)["hourly"].withColumn("date", F.col("timestamp").cast("date"))
     return rnd(joins.semi_dates(weather, complete, ["date"]).drop("date"))
 

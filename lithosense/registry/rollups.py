@@ -150,6 +150,28 @@ def _(t):
     return rnd(R.pooled_std_two_pass(finer, ["timestamp", "series_id"]))
 
 
+# Values far from zero with a small spread, as of air pressure in Pa.
+_FAR = {"far": "SELECT \"timestamp\", series_id, 101325 + value / 40000 AS value FROM weather"}
+
+
+@query("pooled_std_offset", sql(
+    'SELECT k AS "timestamp", series_id, ' + r("CASE WHEN sum(count) = 1 THEN 0.0 ELSE sqrt(sum(count * (std * std + (mean - gm) * (mean - gm))) / sum(count)) END", "std")
+    + """, sum(count)::BIGINT AS count FROM (SELECT *, date_trunc('hour', "timestamp") AS k, sum(count * mean) OVER w / sum(count) OVER w AS gm FROM f15
+    WINDOW w AS (PARTITION BY date_trunc('hour', "timestamp"), series_id)) GROUP BY 1, 2""", "weather", **_FAR,
+    f15="""SELECT time_bucket(INTERVAL '15 minutes', "timestamp") AS "timestamp", series_id, avg(value) AS mean, coalesce(stddev_samp(value), 0.0) AS std, count(value) AS count FROM far GROUP BY 1, 2"""))
+def _(t):
+    far = t.weather().withColumn("value", F.lit(101325) + F.col("value") / 40000)
+    return rnd(R.rollup_hourly(R.rollup_15min_weather(far), null_std="zero").select("timestamp", "series_id", "std", "count"))
+
+
+@query("exact_std_offset", sql(
+    'SELECT CAST("timestamp" AS DATE) AS date, series_id, ' + r("stddev_samp(value)", "std") + ", count(*) AS count FROM far GROUP BY 1, 2", "weather", **_FAR))
+def _(t):
+    far = t.weather().withColumn("value", F.lit(101325) + F.col("value") / 40000)
+    fine = R.rollup_15min(far, threshold=None).withColumn("date", day_of("timestamp"))
+    return rnd(R.exact_rollup(fine, ["date", "series_id"]).select("date", "series_id", "std", "count"))
+
+
 @query("exact_std", sql(
     'SELECT CAST("timestamp" AS DATE) AS date, series_id, ' + ", ".join([r("avg(value)", "mean"), r("min(value)", "min"), r("max(value)", "max"), r("stddev_samp(value)", "std")])
     + ", count(*) AS count FROM readings GROUP BY 1, 2", "readings"))

@@ -25,6 +25,25 @@ def _(t):
     return rnd(S.run_to_table(S.stream_rollup_15min(_stream(t), "1 hour", THRESHOLD), "s15"))
 
 
+@query("stream_rollup_closed", sql(f"SELECT {columns(*TS)} FROM t15", "t15"))
+def _(t):
+    """All 15-minute rows: what the stream emitted and the buckets still open when it ended."""
+    emitted = S.run_to_table(S.stream_rollup_15min(_stream(t), "1 hour", THRESHOLD), "s15c")
+    return rnd(S.close_15min(emitted, t.readings(), THRESHOLD))
+
+
+@query("stream_two_runs", sql("SELECT series_id, count(*) AS n, count(DISTINCT event_id) AS ids FROM readings GROUP BY 1", "readings"))
+def _(t):
+    """Files that arrive after the first run are added by the second, and nothing twice."""
+    root, path = scratch_path(t.spark, "arriving"), scratch_path(t.spark, "two-runs")
+    events = t.events.select("ts", "user_id", "event_id", "value")
+    for half in (0, 1):
+        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(root)
+        stream = S.read_stream(t.spark, root, "ts TIMESTAMP_NTZ, user_id BIGINT, event_id BIGINT, value DOUBLE")
+        rows = S.run_to_table(stream.select(F.concat(F.lit("S"), F.col("user_id") % 25).alias("series_id"), "event_id"), "two-runs", path)
+    return rows.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids"))
+
+
 @query("stream_cascade", sql(f"SELECT {columns(*TS)} FROM th WHERE \"timestamp\" + INTERVAL 1 HOUR <= {_MAX} - INTERVAL 1 HOUR", "th"))
 def _(t):
     return rnd(S.run_to_table(S.stream_hourly(_stream(t), "1 hour", THRESHOLD), "sh"))

@@ -39,10 +39,10 @@ def _(t):
 
 @query("scan_weather_dir", sql(f"SELECT {_ROW} FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY date_trunc('second', ts) ORDER BY event_id) = 1)"))
 def _(t):
-    """Two overlapping exports; the first file wins per instant."""
+    """Two overlapping exports, the second with its columns in another order and one more; the first file wins per instant."""
     root = scratch_path(t.spark, "stations")
     _csv(_station(t), f"{root}/a")
-    _csv(_station(t, 1000.0, F.col("event_id") % 4 == 0), f"{root}/b")
+    _csv(_station(t, 1000.0, F.col("event_id") % 4 == 0).select("relative_humidity", F.lit("x").alias("station"), "temperature", "date_time_local"), f"{root}/b")
     return readers.scan_weather_dir(t.spark, f"{root}/*").select("timestamp", "temperature", "relative_humidity")
 
 
@@ -151,6 +151,52 @@ def _(t):
     return t.spark.read.parquet(path).select("week_start", "series_id", "count", "origin")
 
 
+_OPEN_DAY = "CASE WHEN count % 3 = 0 THEN NULL ELSE week_start END AS week_start, series_id || ':' || week_start AS series_id"
+
+
+@query("upsert_null_partition", sql(f"SELECT {_OPEN_DAY}, count, CASE WHEN series_id IN ('S1', 'S2') THEN 'new' ELSE 'old' END AS origin FROM zw", "zw"))
+def _(t):
+    """Rows without a partition value stay, and are replaced by key like others."""
+    path = scratch_path(t.spark, "upsert-null")
+    weekly = z(t)["weekly"].select(
+        F.when(F.col("count") % 3 != 0, F.col("week_start")).alias("week_start"), F.concat_ws(":", "series_id", "week_start").alias("series_id"), "count", F.col("series_id").alias("sensor"))
+    old = weekly.withColumn("origin", F.lit("old"))
+    new = weekly.where(F.col("sensor").isin("S1", "S2")).withColumn("origin", F.lit("new"))
+    for rows in (old, new):
+        sinks.upsert(rows.drop("sensor"), path, ["week_start", "series_id"], "week_start")
+    return t.spark.read.parquet(path).select("week_start", "series_id", "count", "origin")
+
+
+@query("upsert_duplicate_keys", sql("SELECT week_start, series_id, 2 AS version FROM zw", "zw"))
+def _(t):
+    """Of new rows with one key the last by order counts."""
+    path = scratch_path(t.spark, "upsert-twice")
+    weekly = z(t)["weekly"].select("week_start", "series_id", F.explode(F.array(F.lit(2), F.lit(0), F.lit(1))).alias("version"))
+    sinks.upsert(weekly, path, ["week_start", "series_id"], "week_start", order=["version"])
+    return t.spark.read.parquet(path).select("week_start", "series_id", "version")
+
+
+@query("append_duplicate_keys", sql("SELECT week_start, series_id, 0 AS version FROM zw", "zw"))
+def _(t):
+    """Of new rows with one key the first by order is appended, and a second run appends nothing."""
+    path = scratch_path(t.spark, "append-twice")
+    weekly = z(t)["weekly"].select("week_start", "series_id", F.explode(F.array(F.lit(2), F.lit(0), F.lit(1))).alias("version"))
+    for _ in range(2):
+        sinks.append_new_only(weekly, path, ["week_start", "series_id"], order=["version"])
+    return t.spark.read.parquet(path)
+
+
+@query("archive_manifest", sql("""SELECT DATE '2024-01-08' AS interval_start, DATE '2024-01-14' AS interval_end, count(*) AS rows, 'COMPLETED' AS status FROM zd WHERE date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'""", "zd"))
+def _(t):
+    """The stored manifest after two runs, and an empty one for a week without rows."""
+    root, archive = scratch_path(t.spark, "current"), scratch_path(t.spark, "archive")
+    sinks.write_rollup(z(t)["daily"], root, "daily", "weather")
+    for _ in range(2):
+        manifest = sinks.archive_week(t.spark, root, archive, "daily", "weather", "2024-01-08")
+    nothing = sinks.archive_week(t.spark, root, archive, "daily", "weather", "2001-01-01")
+    return manifest.unionByName(nothing).select("interval_start", "interval_end", "rows", "status")
+
+
 @query("seed_dimension", sql("SELECT sensor_id, CASE WHEN depth < 300 THEN -1.0::DOUBLE ELSE depth END AS depth FROM dim", "dim"))
 def _(t):
     path = scratch_path(t.spark, "dim")

@@ -120,16 +120,29 @@ def sensor_dimension(spark: SparkSession) -> DataFrame:
     )
 
 
+def _too_large(df: DataFrame):
+    """First statistic of a row that its DECIMAL(5,2) column cannot hold, else NULL."""
+    names = [c for c in ("mean", "min", "max", "std", "temp_range") if c in df.columns]
+    return F.coalesce(*[F.when(F.abs(F.round(c, 2)) >= 1000, F.lit(f"{c} out of range")) for c in names])
+
+
+def warehouse_rejects(df: DataFrame) -> DataFrame:
+    """Rows that ``to_warehouse_rollup`` leaves out, with the ``reason``."""
+    return df.withColumn("reason", _too_large(df)).where(F.col("reason").isNotNull())
+
+
 def to_warehouse_rollup(df: DataFrame, level: str, processed_at: str) -> DataFrame:
     """A sensor roll-up in the column names and decimals of the warehouse table.
-    Values are computed in DOUBLE; decimals appear only here, at the sink."""
+    Values are computed in DOUBLE; decimals appear only here, at the sink.  Rows with a
+    value that the table cannot hold are left out whole; store ``warehouse_rejects`` beside it."""
+    df = df.where(_too_large(df).isNull())
     axis = {"15min": "timestamp", "hourly": "timestamp", "daily": "date", "weekly": "week_start"}[level]
     start = F.col(axis).cast("timestamp_ntz")
     end = {
         "15min": F.timestamp_add("MINUTE", F.lit(15), start), "hourly": F.timestamp_add("HOUR", F.lit(1), start),
         "daily": F.timestamp_add("DAY", F.lit(1), start), "weekly": F.timestamp_add("DAY", F.lit(6), start),
     }[level]
-    two = lambda c: F.col(c).try_cast("decimal(5,2)")
+    two = lambda c: F.col(c).cast("decimal(5,2)")
     return df.select(
         start.alias("Timestamp"), F.col("series_id").alias("SensorID"),
         two("mean").alias("MeanValue"), two("min").alias("MinValue"), two("max").alias("MaxValue"), two("std").alias("StdDevValue"),
