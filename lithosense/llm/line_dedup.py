@@ -199,7 +199,8 @@ def _near(lines: DataFrame, min_fuzzy_chars: int) -> DataFrame:
     halves = written(fuzzy.select("h1", F.explode(_half_keys(F.col("norm"))).alias("half")).select("h1", "half.key"), "halves")
     shared = halves.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low < high").select("key")
     owners = written(halves.join(shared, "key").distinct().groupBy("h1").agg(F.collect_set("key").alias("keys")), "shared-halves")
-    whole_lines = fuzzy.join(owners, "h1").groupBy(*_LINE).agg(
+    # a fixed kind of join where texts travel: the plan, and so the disk it takes, is the same at every size
+    whole_lines = fuzzy.join(owners.hint("merge"), "h1").groupBy(*_LINE).agg(
         F.min(F.struct("id", "pos")).alias("at"), F.min("norm").alias("norm"), F.first("keys").alias("keys")
     )
     halves_kept = F.filter(_half_keys(F.col("norm")), lambda h: F.array_contains("keys", h["key"]))
@@ -239,7 +240,7 @@ def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
 def remove_duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_fuzzy_chars: int = MIN_FUZZY_CHARS) -> DataFrame:
     """``df`` with the text cleaned, plus ``n_lines`` (not blank, before) and ``n_dropped``."""
     gone = duplicate_lines(df, id_col, text_col, min_fuzzy_chars).groupBy(F.col("id").alias("_id")).agg(F.collect_set("pos").alias("_gone"))
-    joined = df.drop("n_lines", "n_dropped").join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")), "left")
+    joined = df.drop("n_lines", "n_dropped").join(gone.hint("merge"), F.col(f"`{id_col}`").eqNullSafe(F.col("_id")), "left")
     filled = F.filter(F.split(F.col(text_col), "\n", -1), lambda x: F.trim(x, F.lit(_BLANKS)) != "")
     counted = joined.withColumns({"n_lines": F.coalesce(F.size(filled), F.lit(0)).cast("long"), "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")})
     cleaned = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(_without(F.col(text_col), F.col("_gone")))
