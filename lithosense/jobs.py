@@ -4,20 +4,20 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import functions as F
-
 from lithosense.constants import LEVELS
-from lithosense.operators import filters, ingest
+from lithosense.operators import ingest
 from lithosense.plans import cascade as C
+from lithosense.plans.incremental import update_level
 from lithosense.plans.section_table import build_section_table
 from lithosense.session import build_session
-from lithosense.sources import readers, sinks, state
+from lithosense.sources import readers, sinks
 
 
 def rollup(spark, args) -> None:
     rules = C.rules_for(args.kind)
     todo = LEVELS if args.level == "all" else (args.level,)
     for level in todo:
+        finer = None
         if level == "15min":
             if args.kind == "weather":
                 # One CSV file or a whole folder of them.
@@ -32,20 +32,7 @@ def rollup(spark, args) -> None:
                 wide = readers.scan_readings_wide(spark, args.input, fmt, args.start)
                 temp, _ = ingest.identify_series(wide.columns)
                 finer = ingest.to_long(ingest.coerce_numeric(wide, temp), temp)
-        else:
-            finer = readers.scan_rollup(spark, args.output, LEVELS[LEVELS.index(level) - 1], args.kind, dedup=False)
-        rows = C.level_of(finer, level, rules)
-        if args.as_of:
-            rows = filters.closed_buckets(rows, level, args.as_of)
-        path = sinks.write_rollup(rows, args.output, level, args.kind)
-        stored = spark.read.parquet(path)
-        axis = {"15min": "timestamp", "hourly": "timestamp", "daily": "date", "weekly": "week_start"}[level]
-        mark = stored.agg(F.max(axis).cast("timestamp_ntz").alias("last_processed")).select(
-            F.lit(f"{args.kind}_{level}").alias("status_type"),
-            F.lit(args.as_of).cast("timestamp_ntz").alias("last_run"),
-            "last_processed", F.lit("SUCCESS").alias("status"), F.lit("").alias("message"),
-        )
-        state.update_state(spark, f"{args.output}/_state", mark)
+        update_level(spark, args.output, level, rules, finer, args.as_of, args.late_days, args.full)
 
 
 def section_table(spark, args) -> None:
@@ -64,6 +51,8 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--start", help="start instant for exports with a seconds column only")
     r.add_argument("--out", dest="output", required=True)
     r.add_argument("--as-of", help="only buckets closed at this instant")
+    r.add_argument("--late-days", type=int, default=1, help="days before the last mark that are computed again")
+    r.add_argument("--full", action="store_true", help="compute all days, not only those since the last mark")
     s = sub.add_parser("section-table", help="build the modelling table")
     s.add_argument("--in", dest="input", required=True)
     s.add_argument("--out", dest="output", required=True)

@@ -23,9 +23,12 @@ def forest(
     seed: int = SEED, max_bins: int = 128, features_col: str = "features",
 ) -> RandomForestRegressor:
     """Estimator.  Node statistics are aggregated across tasks in groups that fit
-    ``maxMemoryInMB``; node ids are cached so deep trees need no re-walk per level."""
+    ``maxMemoryInMB``; node ids are cached so deep trees need no re-walk per level.
+    ``depth`` None means the deepest Spark grows (30); more is an error."""
+    if depth is not None and depth > MAX_DEPTH:
+        raise ValueError(f"trees cannot be deeper than {MAX_DEPTH}, asked for {depth}")
     return RandomForestRegressor(
-        featuresCol=features_col, labelCol=label, numTrees=trees, maxDepth=min(depth or MAX_DEPTH, MAX_DEPTH),
+        featuresCol=features_col, labelCol=label, numTrees=trees, maxDepth=MAX_DEPTH if depth is None else depth,
         featureSubsetStrategy=str(subset), minInstancesPerNode=leaf, maxBins=max_bins, seed=seed,
         maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10,
     )

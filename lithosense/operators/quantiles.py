@@ -12,19 +12,21 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lithosense.session import materialise
+
 _ACCURACY = 5_000
 
 
-def exact_quantiles(
-    df: DataFrame, columns: list[str], probs: list[float], limit: int = 1_000_000, max_passes: int = 12
-) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], limit: int = 1_000_000) -> dict[str, list[float | None]]:
     """{column: [quantile, ...]} with linear interpolation, NULLs ignored.
 
-    Passes over the data: one when a column has at most ``limit`` values,
-    otherwise about two more per factor of a thousand.  Only a handful of numbers
-    per (column, probability) reach the driver.
+    The columns are written once, so what lies behind ``df`` runs once.  Brackets are
+    narrowed until they hold at most ``limit`` values or the wanted ones are known; each
+    round is two passes over the written columns and shrinks a bracket about a thousandfold.
+    Only a handful of numbers per (column, probability) reach the driver.
     """
-    num = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    df = materialise(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]), "quantiles")
+    num = {c: F.col(f"`{c}`") for c in columns}
     head = df.agg(
         *[f(v).alias(f"{k}{i}") for i, v in enumerate(num.values()) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
     ).first()
@@ -34,15 +36,15 @@ def exact_quantiles(
         for j, p in enumerate(probs):
             rank = p * (n - 1) if n else 0.0
             targets.append(
-                {"col": c, "j": j, "rank": rank, "below": 0, "m": n, "lo": head[f"lo{i}"], "hi": head[f"hi{i}"], "stuck": n == 0}
+                {"col": c, "j": j, "rank": rank, "below": 0, "m": n, "lo": head[f"lo{i}"], "hi": head[f"hi{i}"]}
             )
-    for _ in range(max_passes):
-        wide = [t for t in targets if t["m"] > limit and t["lo"] != t["hi"] and not t["stuck"]]
-        if not wide:
-            break
+    while wide := [t for t in targets if t["m"] > limit and t["lo"] != t["hi"] and "value" not in t]:
         _narrow(df, num, wide)
-    final = [t for t in targets if t["m"]]
+    final = [t for t in targets if t["m"] and "value" not in t]
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
+    for t in targets:
+        if "value" in t:
+            out[t["col"]][t["j"]] = t["value"]
     if final:
         # Targets that share a bracket share one percentile (one buffer).
         groups: dict[tuple, list[dict]] = {}
@@ -97,7 +99,13 @@ def _narrow(df: DataFrame, num: dict[str, Column], targets: list[dict]) -> None:
             if c[f"le{k}"] - c[f"eqb{k}"] > last:  # before all copies of b
                 t["hi"], end = c[f"prev{k}"], c[f"le{k}"] - c[f"eqb{k}"]
         t["m"] = end - t["below"]
-        t["stuck"] = (t["below"], t["m"]) == before
+        if (t["below"], t["m"]) == before:
+            # Nothing to cut off: the two wanted ranks lie in the copies of a and of b, which
+            # are the bracket's ends, however many copies there are.
+            at_a, at_b = first < c[f"lt{k}"] + c[f"eqa{k}"], last >= c[f"le{k}"] - c[f"eqb{k}"]
+            if not (at_a and at_b):
+                raise RuntimeError("a quantile bracket did not shrink")
+            t["value"] = a + (t["rank"] - first) * (b - a)
 
 
 def percentiles(df: DataFrame, columns: list[str], probs: list[float], limit: int = 1_000_000) -> DataFrame:

@@ -28,12 +28,9 @@ def top_n(df: DataFrame, by: list, n: int) -> DataFrame:
     return df.orderBy(*by).limit(n)
 
 
-def ranked_pairs(top: DataFrame, name: str, score: str) -> DataFrame:
-    """All unordered pairs of an already limited top-n list, better one first.
-
-    The input is a report of n rows and the result has n·(n-1)/2, so holding the
-    n rows as one sorted array is fine.
-    """
+def ranked_pairs(rows: DataFrame, name: str, score: str, n: int = 100) -> DataFrame:
+    """All unordered pairs of the ``n`` best rows (a report of n·(n-1)/2 rows), better one first."""
+    top = rows.orderBy(F.desc(score), name).limit(n)
     best = F.array_sort(F.collect_list(F.struct((-F.col(score)).alias("order"), F.col(name).alias("name"))))
     listed = top.agg(best.alias("all"))
     one = listed.select("all", F.posexplode("all").alias("i", "a"))

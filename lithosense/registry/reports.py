@@ -167,11 +167,12 @@ def _(t):
 
 
 @query("weekly_temp_weather", sql(
-    "SELECT a.week_start, a.week_end, a.series_id AS sensor_id, layer, depth, " + ", ".join([
-        r("a.mean", "avg_temperature"), r("a.min", "min_temperature"), r("a.max", "max_temperature"), r("x.mean", "avg_air_temperature"),
-        r("h.mean", "avg_humidity"), r("s.mean", "avg_solar_radiation")])
-    + """ FROM zw a JOIN dim ON a.series_id = sensor_id LEFT JOIN ww x ON a.week_start = x.week_start AND x.series_id = 'temperature'
-    LEFT JOIN ww h ON a.week_start = h.week_start AND h.series_id = 'relative_humidity' LEFT JOIN ww s ON a.week_start = s.week_start AND s.series_id = 'solar_radiation'""", "zw", "ww", "dim"))
+    "SELECT week_start, a.week_end, a.series_id AS sensor_id, layer, depth, " + ", ".join([
+        r("a.mean", "avg_temperature"), r("a.min", "min_temperature"), r("a.max", "max_temperature"), r("air", "avg_air_temperature"),
+        r("humid", "avg_humidity"), r("sun", "avg_solar_radiation")])
+    + " FROM zw a JOIN dim ON a.series_id = sensor_id LEFT JOIN station USING (week_start)", "zw", "ww", "dim",
+    station="""SELECT week_start, max(mean) FILTER (series_id = 'temperature') AS air, max(mean) FILTER (series_id = 'relative_humidity') AS humid,
+    max(mean) FILTER (series_id = 'solar_radiation') AS sun FROM ww GROUP BY 1"""))
 def _(t):
     return rnd(views.weekly_temp_weather(z(t)["weekly"], w(t)["weekly"], t.dim()))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lithosense.operators import ingest as I
 from lithosense.plans import cascade as C
+from lithosense.plans.incremental import update_level
 from lithosense.registry.base import columns, query, rnd, sql
 from lithosense.registry.rollups import DAY, SENSOR, TS, WEEK, t15, z
 from lithosense.schema import SECTION_TABLES
@@ -132,6 +133,18 @@ def _(t):
     return rnd(C.level_of(finer, "weekly", SENSOR))
 
 
+@query("incremental_run", sql(f"SELECT {columns(*WEEK)} FROM pw", "pw"))
+def _(t):
+    """Readings in two deliveries, the second with late ones: two runs store what one would."""
+    root = scratch_path(t.spark, "incremental")
+    noon = F.lit("2024-01-04 12:00:00").cast("timestamp_ntz")
+    early = t.packed().where((F.col("timestamp") < noon) & ((F.col("timestamp") < "2024-01-04") | (F.col("event_id") % 3 != 0)))
+    for readings in (early, t.packed()):
+        for level in ("15min", "hourly", "daily", "weekly"):
+            update_level(t.spark, root, level, SENSOR, readings)
+    return rnd(readers.scan_rollup(t.spark, root, "weekly"))
+
+
 @query("append_new_only", sql("SELECT week_start, series_id, count, 'old' AS origin FROM zw WHERE week_start < DATE '2024-01-15' UNION ALL SELECT week_start, series_id, count, 'new' FROM zw WHERE week_start >= DATE '2024-01-15'", "zw"))
 def _(t):
     path = scratch_path(t.spark, "append")
