@@ -20,7 +20,7 @@ def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataF
 
 def forest(
     label: str, trees: int = 5, depth: int | None = 22, subset: int | str = 8, leaf: int = 4,
-    seed: int = SEED, max_bins: int = 128, features_col: str = "features",
+    seed: int = SEED, max_bins: int = 128, features_col: str = "features", bootstrap: bool = True,
 ) -> RandomForestRegressor:
     """Estimator.  Node statistics are aggregated across tasks in groups that fit
     ``maxMemoryInMB``; node ids are cached so deep trees need no re-walk per level.
@@ -30,7 +30,7 @@ def forest(
     return RandomForestRegressor(
         featuresCol=features_col, labelCol=label, numTrees=trees, maxDepth=MAX_DEPTH if depth is None else depth,
         featureSubsetStrategy=str(subset), minInstancesPerNode=leaf, maxBins=max_bins, seed=seed,
-        maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10,
+        maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10, bootstrap=bootstrap,
     )
 
 

@@ -1,6 +1,7 @@
 """Fitted models: forests, additive regression, search, explanation.
 
-No SQL repeats a learner, so these are checked by invariants in the tests.
+SQL repeats a learner only in cases it can solve exactly; those stand at the end.  The
+others are checked by invariants in the tests.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from lithosense.constants import FEATURES, FOREST_SMALL, TARGET
 from lithosense.models import additive, evaluate, forest as RF, prepare as P, search as S
 from lithosense.plans.ensemble import EnsembleConfig, fit_ensemble
-from lithosense.registry.base import query
+from lithosense.registry.base import query, r, rnd, sql
 
 KEYS = ["id", "line", "RES_MOD_AVG", "MAX_ANN_TEMP_DAYS"]
 FEATS = list(FEATURES)
@@ -158,3 +159,42 @@ def _(t):
 def _(t):
     cfg = EnsembleConfig(keys=KEYS, forest=LIGHT, max_bins=32, interactions=3)
     return fit_ensemble(t.model_table().drop("MATERIAL"), cfg)[1]
+
+
+# --- cases that SQL solves exactly ----------------------------------------------------
+_MEANS = "SELECT {0} AS x, count(*) AS n, sum(MAX_MEAN_DEPTH_1_8) AS s FROM model_table GROUP BY 1"
+
+
+@query("stump_split", sql(
+    "SELECT x, n, " + r("CASE WHEN x <= cut THEN left_mean ELSE right_mean END", "predicted", 4) + " FROM means, best", "model_table",
+    means=_MEANS.format("MAX_ANN_TEMP_AVG"),
+    sides="""SELECT x AS cut, sum(n) OVER w AS n1, sum(s) OVER w AS s1, (SELECT sum(n) FROM means) AS n_all, (SELECT sum(s) FROM means) AS s_all
+        FROM means WINDOW w AS (ORDER BY x)""",
+    best="""SELECT cut, s1 / n1 AS left_mean, (s_all - s1) / (n_all - n1) AS right_mean FROM sides WHERE n1 < n_all
+        ORDER BY s1 * s1 / n1 + (s_all - s1) * (s_all - s1) / (n_all - n1) DESC LIMIT 1"""))
+def _(t):
+    """One tree of one split over every row: the cut with the least squared error."""
+    data = RF.assemble(t.model_table(), ["MAX_ANN_TEMP_AVG"])
+    model = RF.forest(TARGET, trees=1, depth=1, subset="all", leaf=1, bootstrap=False).fit(data)
+    scored = model.transform(data).groupBy(F.col("MAX_ANN_TEMP_AVG").alias("x"))
+    return rnd(scored.agg(F.count(F.lit(1)).alias("n"), F.first("prediction").alias("predicted")), 4)
+
+
+@query("additive_means", sql("SELECT x, n, " + r("s / n", "predicted", 3) + " FROM means", "model_table", means=_MEANS.format("CONSTRUCTION_NO")))
+def _(t):
+    """One feature, no penalty: the score of a bin is its mean."""
+    data = t.model_table()
+    model = additive.fit_additive(data, ["CONSTRUCTION_NO"], TARGET, max_bins=64, ridge=0.0)
+    scored = model.transform(data).groupBy(F.col("CONSTRUCTION_NO").alias("x"))
+    return rnd(scored.agg(F.count(F.lit(1)).alias("n"), F.first("prediction").alias("predicted")), 3)
+
+
+@query("explain_sums", sql(f"SELECT DISTINCT {', '.join(KEYS)}, 0.0::DOUBLE AS gap FROM model_table WHERE REPR_THICKNESS IS NOT NULL", "model_table"))
+def _(t):
+    """Intercept and contributions add up to the prediction, for every key."""
+    data = t.model_table().where(F.col("REPR_THICKNESS").isNotNull())
+    model = additive.fit_additive(data, FEATS, TARGET, max_bins=32)
+    rows = F.count(F.lit(1)) / len(FEATS)
+    total = model.explain_local(data, KEYS).groupBy(*KEYS).agg((F.sum("contribution") + rows * model.intercept).alias("total"))
+    both = model.transform(data).groupBy(*KEYS).agg(F.sum("prediction").alias("prediction")).join(total, KEYS)
+    return both.select(*KEYS, (F.round(F.col("total") - F.col("prediction"), 6) + 0.0).alias("gap"))
