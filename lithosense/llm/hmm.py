@@ -35,8 +35,10 @@ FREQUENT, ENDINGS = 4096, 1024
 END_CLASS = FREQUENT + ENDINGS
 CLASSES = END_CLASS + 1
 END_HASH = np.uint64(1)
+FREQUENT_COUNT = 10  # rarer words share a class, which also holds the unknown ones
+PRIOR_TOKENS = 20.0  # weight of the shares of classes over all text in each state's emissions
 DISCOUNT = 0.75
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 16 << 20
 
 
 def is_held_out(id_col: Column, fold: int = 2, folds: int = 7) -> Column:
@@ -181,29 +183,50 @@ def _windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.append(first[:-1][text] + number * WINDOW, first[-1]), number == 0
 
 
+def _distinct(hashes: np.ndarray, classes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each hash once, with its class and the sum of its counts."""
+    found, place, group = np.unique(hashes, return_index=True, return_inverse=True)
+    return found, classes[place], np.bincount(group, weights=counts, minlength=len(found)).astype(np.int64)
+
+
+def _emit(bucket: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+    if parts:
+        hashes, classes, counts = _distinct(*map(np.concatenate, zip(*parts)))
+        for k in range(0, len(hashes), 65_536):
+            part = slice(k, k + 65_536)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(hashes[part]), bucket, np.int32)), pa.array(hashes[part].view(np.int64)), pa.array(classes[part].astype(np.int32)), pa.array(counts[part])],
+                names=["bucket", "h", "class", "n"],
+            )
+
+
 def _dictionary(docs: DataFrame) -> DataFrame:
     """``bucket, h, class, n``: each bucket's distinct words, with their class by ending and training count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, parts = -1, []
         for batch in batches:
             buckets, held = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "held_out"))
-            for row, part in chunks(batch.column("text"), 8 << 20):
+            for row, part in chunks(batch.column("text")):
                 hashes, first, w = _tokens(part)
                 n = np.diff(first)
                 text = slice(row, row + len(part))
-                bucket, trained = np.repeat(buckets[text], n), np.repeat(~held[text], n)
-                ending = np.full(len(hashes), END_CLASS, np.int64)
+                ending = np.full(len(hashes), END_CLASS, np.int32)
                 is_word = np.ones(len(hashes), bool)
                 is_word[first[1:] - 1] = False
                 ending[is_word] = _ending(w)
-                for b in np.unique(bucket):
-                    mine = bucket == b
-                    found, place, group = np.unique(hashes[mine], return_index=True, return_inverse=True)
-                    count = np.bincount(group, weights=trained[mine], minlength=len(found)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(found), b, np.int32)), pa.array(found.view(np.int64)), pa.array(ending[mine][place].astype(np.int32)), pa.array(count)],
-                        names=["bucket", "h", "class", "n"],
-                    )
+                trained = np.repeat(~held[text], n)
+                # rows come in the order of their buckets, so one is complete when the next begins
+                edges = np.flatnonzero(np.diff(buckets[text], prepend=buckets[row] - 1))
+                for a, b in zip(edges, [*edges[1:], len(n)]):
+                    if buckets[row + a] != bucket:
+                        yield from _emit(bucket, parts)
+                        bucket, parts = int(buckets[row + a]), []
+                    mine = slice(first[a], first[b])
+                    parts.append(_distinct(hashes[mine], ending[mine], trained[mine].astype(np.int64)))
+                    if len(parts) == 8:
+                        parts = [_distinct(*map(np.concatenate, zip(*parts)))]
+        yield from _emit(bucket, parts)
 
     dealt = docs.select("bucket", "held_out", "text").repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "bucket int, h bigint, class int, n bigint")
@@ -250,7 +273,7 @@ def fit(docs: DataFrame, counts: DataFrame, states: int = STATES, sweeps: int =
     """Learn from the training rows of ``docs`` and the word counts ``h, class, c`` over them."""
     known = counts.filter("c > 0")
     by_class = known.groupBy("class").agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types")).toPandas()
-    frequent = known.filter(F.col("class") != END_CLASS).orderBy(F.desc("c"), "h").limit(FREQUENT).select("h", "class", "c").toPandas()
+    frequent = known.filter((F.col("class") != END_CLASS) & (F.col("c") >= FREQUENT_COUNT)).orderBy(F.desc("c"), "h").limit(FREQUENT).select("h", "class", "c").toPandas()
     hashes = np.sort(frequent["h"].to_numpy(np.int64).view(np.uint64))
     tokens, types = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     tokens[by_class["class"]], types[by_class["class"]] = by_class["tokens"], by_class["types"]
@@ -268,7 +291,7 @@ def fit(docs: DataFrame, counts: DataFrame, states: int = STATES, sweeps: int =
         occupied = (emitted.sum(axis=1) + 1 / states) / (emitted.sum() + 1)
         start = (starts + 1 / states) / (starts.sum() + 1)
         move = (moves + 1 / states) / (moves.sum(axis=1, keepdims=True) + 1)
-        emit = (emitted + share) / (emitted.sum(axis=1, keepdims=True) + 1)
+        emit = (emitted + PRIOR_TOKENS * share) / (emitted.sum(axis=1, keepdims=True) + PRIOR_TOKENS)
     return Model(start, move, emit, tokens, types, hashes, n, v)
 
 
@@ -315,7 +338,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_ou
         text = left.column("text").combine_chunks()
         text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
         out = [[] for _ in range(4)]
-        for _, part in chunks(text, 4 << 20):
+        for _, part in chunks(text):
             hashes, first, w = _tokens(part)
             classes = known.of(hashes, first, w)
             count = c[np.searchsorted(h, hashes)]
