@@ -51,7 +51,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--start", help="start instant for exports with a seconds column only")
     r.add_argument("--out", dest="output", required=True)
     r.add_argument("--as-of", help="only buckets closed at this instant")
-    r.add_argument("--late-days", type=int, default=1, help="days before the last mark that are computed again")
+    r.add_argument("--late-days", type=int, default=1, help="days before the last mark whose coarser levels are computed again in any case")
     r.add_argument("--full", action="store_true", help="compute all days, not only those since the last mark")
     s = sub.add_parser("section-table", help="build the modelling table")
     s.add_argument("--in", dest="input", required=True)

@@ -1,4 +1,11 @@
-"""Stored levels brought up to date: only days that can have changed are read and replaced."""
+"""Stored levels brought up to date: only days that have changed are replaced.
+
+Delivered readings of any age are rolled up and held against the stored 15-minute level;
+the days of buckets that differ are written again and noted for the next level, which
+computes them (whole weeks by their Monday) beside the days since its own mark.  A
+delivery holds its buckets whole: a delivered bucket replaces the stored one, buckets that
+are not delivered stay.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lithosense import schema as S
 from lithosense.constants import LEVELS
+from lithosense.functions.times import bucket_start, week_of
 from lithosense.operators import filters
 from lithosense.plans import cascade as C
 from lithosense.session import materialise
 from lithosense.sources import readers, sinks, state
 
-LAST_DAY = "9999-12-31"
+VALUES = ["mean", "min", "max", "std", "count"]
 
 
 def first_day(spark: SparkSession, root: str, level: str, kind: str, late_days: int) -> date | None:
@@ -27,28 +35,86 @@ def first_day(spark: SparkSession, root: str, level: str, kind: str, late_days:
     return day - timedelta(days=day.weekday()) if level == "weekly" else day
 
 
+def _noted_path(root: str, level: str, kind: str) -> str:
+    return f"{root}/_changed/kind={kind}/level={level}"
+
+
+def noted_days(spark: SparkSession, root: str, level: str, kind: str) -> list[date]:
+    """Days of the finer level that were written since this level was last computed; a date a day at most."""
+    path = _noted_path(root, level, kind)
+    if not sinks.exists(spark, path):
+        return []
+    return [r["day"] for r in spark.read.schema("day DATE").parquet(path).distinct().orderBy("day").collect()]
+
+
+def _note(days: DataFrame, root: str, level: str, kind: str, mode: str) -> None:
+    days.coalesce(1).write.mode(mode).parquet(_noted_path(root, level, kind))
+
+
+def changed_readings(spark: SparkSession, root: str, rules: C.Rules, readings: DataFrame, as_of: str | None = None) -> DataFrame:
+    """15-minute rows of all days with a delivered bucket that differs from the stored one.
+
+    Delivered buckets replace stored ones, also where nothing valid is left of them; the
+    other stored buckets of these days stay.
+    """
+    fresh = C.level_of(readings, "15min", rules)
+    delivered = readings.where("timestamp IS NOT NULL").select(bucket_start("timestamp", "15 minutes").alias("timestamp"), "series_id").distinct()
+    if as_of:
+        fresh, delivered = (filters.closed_buckets(df, "15min", as_of) for df in (fresh, delivered))
+    day = F.col("timestamp").cast("date")
+    fresh, delivered = materialise(fresh, "fresh"), materialise(delivered, "delivered")
+    touched = delivered.select(day.alias("_day")).distinct()
+    stored = readers.scan_rollup(spark, root, "15min", rules.kind, dedup=False)
+    stored = materialise(stored.join(touched, day == F.col("_day"), "left_semi"), "stored")
+
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col("timestamp").alias(f"{name}_t"), F.col("series_id").alias(f"{name}_s"), F.struct(*VALUES).alias(name))
+
+    def same(name: str):
+        return (F.col("timestamp") == F.col(f"{name}_t")) & F.col("series_id").eqNullSafe(F.col(f"{name}_s"))
+
+    both = delivered.join(packed(fresh, "new"), same("new"), "left").join(packed(stored, "old"), same("old"), "left")
+    changed = both.where(~F.col("new").eqNullSafe(F.col("old"))).select(day.alias("_day")).distinct()
+    kept = stored.join(delivered.select(F.col("timestamp").alias("d_t"), F.col("series_id").alias("d_s")), same("d"), "left_anti")
+    return kept.unionByName(fresh.select(*kept.columns)).join(changed, day == F.col("_day"), "left_semi")
+
+
 def update_level(
     spark: SparkSession, root: str, level: str, rules: C.Rules, readings: DataFrame | None = None,
     as_of: str | None = None, late_days: int = 1, full: bool = False,
 ) -> DataFrame:
     """Compute one level from the finer one (``readings`` for 15 minutes), store it, move the mark.
 
-    Reads the finer level's day partitions from ``first_day`` on; ``full`` reads all.  Whole
-    days (weeks) are computed and replaced, so a run can be repeated.  Returns the rows written.
+    For 15 minutes all readings are held against what is stored.  Above, the finer level's
+    day partitions from ``first_day`` on and those noted as changed are read; ``full`` reads
+    all and replaces whole days.  A run can be repeated.  Returns the rows written.
     """
     start = None if full else first_day(spark, root, level, rules.kind, late_days)
-    if level == "15min":
-        finer = readings if start is None else readings.where(F.col("timestamp") >= F.lit(start.isoformat()).cast("timestamp_ntz"))
+    noted = noted_days(spark, root, level, rules.kind)
+    if level == "15min" and start is not None:
+        rows = changed_readings(spark, root, rules, readings, as_of)
+    elif level == "15min":
+        rows = C.level_of(readings, level, rules)
     else:
-        finer = readers.scan_rollup(
-            spark, root, LEVELS[LEVELS.index(level) - 1], rules.kind, dedup=False, days=None if start is None else (start.isoformat(), LAST_DAY)
-        )
-    rows = C.level_of(finer, level, rules)
+        day = week_of(F.col("day")) if level == "weekly" else F.col("day")
+        again = sorted({d - timedelta(days=d.weekday()) for d in noted}) if level == "weekly" else noted
+        days = None if start is None else (F.col("day") >= F.lit(start)) | day.isin(again)
+        rows = C.level_of(readers.scan_rollup(spark, root, LEVELS[LEVELS.index(level) - 1], rules.kind, dedup=False, where=days), level, rules)
     if as_of:
         rows = filters.closed_buckets(rows, level, as_of)
     rows = materialise(rows, f"level-{level}")
+    if level != LEVELS[-1]:
+        # noted before the write, so that a run that breaks off leaves nothing unnoticed
+        _note(rows.select(F.col(S.AXIS[level]).cast("date").alias("day")).distinct(), root, LEVELS[LEVELS.index(level) + 1], rules.kind, "append")
     sinks.write_rollup(rows, root, level, rules.kind, rules.threshold or 0.001)
-    mark = rows.agg(F.max(S.AXIS[level]).cast("timestamp_ntz").alias("last_processed")).where("last_processed IS NOT NULL").select(
+    if noted:
+        # days whose buckets have not ended by as_of wait for a later run
+        last = date.fromisoformat(as_of[:10]) - timedelta(days=7 if level == "weekly" else 1) if as_of else date.max
+        waiting = [(d,) for d in noted if (d - timedelta(days=d.weekday()) if level == "weekly" else d) > last]
+        _note(spark.createDataFrame(waiting, "day DATE"), root, level, rules.kind, "overwrite")
+    before = state.read_state(spark, f"{root}/_state").where(F.col("status_type") == f"{rules.kind}_{level}").select("last_processed")
+    newest = rows.select(F.col(S.AXIS[level]).cast("timestamp_ntz").alias("last_processed")).unionByName(before)
+    mark = newest.agg(F.max("last_processed").alias("last_processed")).where("last_processed IS NOT NULL").select(
         F.lit(f"{rules.kind}_{level}").alias("status_type"), F.lit(as_of).cast("timestamp_ntz").alias("last_run"),
         "last_processed", F.lit("SUCCESS").alias("status"), F.lit("").alias("message"),
     )

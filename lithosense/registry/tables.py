@@ -135,10 +135,11 @@ def _(t):
 
 @query("incremental_run", sql(f"SELECT {columns(*WEEK)} FROM pw", "pw"))
 def _(t):
-    """Readings in two deliveries, the second with late ones: two runs store what one would."""
+    """Readings in two deliveries, the second with late ones, some of them days old: two runs store what one would."""
     root = scratch_path(t.spark, "incremental")
     noon = F.lit("2024-01-04 12:00:00").cast("timestamp_ntz")
     early = t.packed().where((F.col("timestamp") < noon) & ((F.col("timestamp") < "2024-01-04") | (F.col("event_id") % 3 != 0)))
+    early = early.where((F.col("timestamp") >= "2024-01-02") | (F.col("event_id") % 7 != 0))
     for readings in (early, t.packed()):
         for level in ("15min", "hourly", "daily", "weekly"):
             update_level(t.spark, root, level, SENSOR, readings)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lithosense import schema as S
 from lithosense.operators.ingest import (
@@ -78,10 +78,10 @@ def scan_weather_dir(spark: SparkSession, path: str) -> DataFrame:
     return coerce_numeric(unique)
 
 
-def scan_rollup(spark: SparkSession, root: str, level: str, kind: str = "temperature", skip_corrupt: bool = False, dedup: bool = True, days: tuple[str, str] | None = None) -> DataFrame:
+def scan_rollup(spark: SparkSession, root: str, level: str, kind: str = "temperature", skip_corrupt: bool = False, dedup: bool = True, days: tuple[str, str] | None = None, where: Column | None = None) -> DataFrame:
     """A stored level, first row per (time, series) in file order.
 
-    ``days`` (first, last) reads only those day partitions.  A damaged file is an error
+    ``days`` (first, last) reads only those day partitions, ``where`` those with its condition on ``day``.  A damaged file is an error
     unless ``skip_corrupt``.  Layout is ``kind=/level=/day=``: filters on kind and level never list the
     rest, filters on ``day`` prune partitions.
     """
@@ -93,6 +93,8 @@ def scan_rollup(spark: SparkSession, root: str, level: str, kind: str = "tempera
     )
     if days:
         df = df.where(F.col("day").between(F.to_date(F.lit(days[0])), F.to_date(F.lit(days[1]))))
+    if where is not None:
+        df = df.where(where)
     if not dedup:  # tables kept by write_rollup hold each key once
         return df.drop("day")
     return dedup_first(with_position(df), [S.AXIS[level], "series_id"], POSITION).drop("day", *POSITION)

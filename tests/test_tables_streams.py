@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from lithosense import jobs
 from lithosense.operators import rollup as R
+from lithosense.plans import cascade as C
+from lithosense.plans.incremental import update_level
 from lithosense.registry.base import Tables
 from lithosense.sources import readers, sinks, state, warehouse
 from lithosense.streaming import rollups as S
@@ -102,3 +104,25 @@ def test_jobs_run_all_levels(spark, tmp_path):
         assert counts == {"15min": 1152, "hourly": 1152, "daily": 1152, "weekly": 672}
     marks = {r["status_type"]: r["last_processed"] for r in state.read_state(spark, f"{out}/_state").collect()}
     assert marks["weather_daily"] == dt.datetime(2024, 1, 12) and marks["weather_weekly"] == dt.datetime(2024, 1, 1)
+
+
+def test_late_deliveries_of_any_age_reach_all_levels(spark, tmp_path):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(start + dt.timedelta(minutes=10 * i), s, float(5 + i % 11)) for i in range(6 * 24 * 20) for s in ("S0", "S1")]
+    is_late = lambda ts, s: s == "S1" and ts.day in (2, 3, 9)
+    late, early = [r for r in rows if is_late(*r[:2])], [r for r in rows if not is_late(*r[:2])]
+    table = lambda part: spark.createDataFrame(part, "timestamp timestamp_ntz, series_id string, value double")
+    levels = ("15min", "hourly", "daily", "weekly")
+    twice, once = str(tmp_path / "twice"), str(tmp_path / "once")
+    # the second delivery holds nothing but the late series; each level is a run of its own
+    for part in (early, late):
+        for level in levels:
+            update_level(spark, twice, level, C.TEMPERATURE, table(part))
+    for level in levels:
+        update_level(spark, once, level, C.TEMPERATURE, table(rows))
+    for level in levels:
+        key = lambda root: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in readers.scan_rollup(spark, root, level).drop("day").collect())
+        assert key(twice) == key(once), level
+    marks = [{r["status_type"]: r["last_processed"] for r in state.read_state(spark, f"{root}/_state").collect()} for root in (twice, once)]
+    assert marks[0] == marks[1]
+    assert update_level(spark, twice, "15min", C.TEMPERATURE, table(late)).count() == 0
