@@ -6,7 +6,7 @@ from lithosense.llm.queries import ORACLES, QUERIES
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
