@@ -27,6 +27,8 @@ class AdditiveModel:
     pair_edges: dict[str, list[float]] = field(default_factory=dict)
     pair_scores: dict[tuple[str, str], list[float]] = field(default_factory=dict)
     missing: dict[str, float] = field(default_factory=dict)
+    spread: dict[str, list[float]] = field(default_factory=dict)  # deviation of scores over bags, if bagged
+    pair_spread: dict[tuple[str, str], list[float]] = field(default_factory=dict)
 
     def _bins(self, df: DataFrame) -> DataFrame:
         return _bucketize(_bucketize(df, self.edges, "_b_"), self.pair_edges, "_c_")
@@ -52,25 +54,27 @@ class AdditiveModel:
         return self._bins(df).select(*ids, F.inline(entries))
 
     def shape_table(self, spark) -> DataFrame:
-        """(feature, bin, low, high, mid, score, n)."""
+        """(feature, bin, low, high, mid, score, n, std); ``std`` is the scores' deviation over bags."""
         rows = []
         for f in self.features:
             e = self.edges[f]
             for b, s in enumerate(self.scores[f]):
                 lo, hi = e[b], e[b + 1]
                 mid = (lo + hi) / 2 if abs(lo) != float("inf") and abs(hi) != float("inf") else None
-                rows.append((f, b, lo, hi, mid, s, self.counts[f][b]))
+                std = self.spread[f][b] if f in self.spread else None
+                rows.append((f, b, lo, hi, mid, s, self.counts[f][b], std))
         return spark.createDataFrame(
-            rows, "feature STRING, bin INT, low DOUBLE, high DOUBLE, mid DOUBLE, score DOUBLE, n BIGINT"
+            rows, "feature STRING, bin INT, low DOUBLE, high DOUBLE, mid DOUBLE, score DOUBLE, n BIGINT, std DOUBLE"
         )
 
     def pair_table(self, spark) -> DataFrame:
-        """(f1, f2, b1, b2, score)."""
+        """(f1, f2, b1, b2, score, std)."""
         rows = []
         for (a, b), cells in self.pair_scores.items():
             width = len(self.pair_edges[b]) - 1
-            rows += [(a, b, i // width, i % width, s) for i, s in enumerate(cells)]
-        return spark.createDataFrame(rows, "f1 STRING, f2 STRING, b1 INT, b2 INT, score DOUBLE")
+            std = self.pair_spread.get((a, b), [None] * len(cells))
+            rows += [(a, b, i // width, i % width, s, std[i]) for i, s in enumerate(cells)]
+        return spark.createDataFrame(rows, "f1 STRING, f2 STRING, b1 INT, b2 INT, score DOUBLE, std DOUBLE")
 
     def importance(self, spark) -> DataFrame:
         return self.shape_table(spark).groupBy("feature").agg(F.sum(F.abs("score")).alias("importance")).orderBy(

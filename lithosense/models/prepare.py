@@ -23,6 +23,17 @@ def bucket_of(keys: list[str], buckets: int, seed: int = SEED) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
+def digest_bucket(keys: list[str], buckets: int) -> Column:
+    """A row's bucket by the MD5 of its key, a rule that other engines have too."""
+    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys])
+    return (F.conv(F.left(F.md5(key.cast("binary")), F.lit(8)), 16, 10).cast("bigint") % buckets).cast("int")
+
+
+def digest_split(df: DataFrame, keys: list[str], test: float = 0.2) -> DataFrame:
+    """Tag rows ``train``/``test`` by the digest of their key."""
+    return df.withColumn("split", F.when(digest_bucket(keys, 10_000) < round(test * 10_000), "test").otherwise("train"))
+
+
 def hash_split(df: DataFrame, keys: list[str], test: float = 0.2, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(train, test)."""
     b = bucket_of(keys, 10_000, seed)

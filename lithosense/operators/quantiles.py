@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lithosense.session import materialise
 
@@ -134,3 +134,42 @@ def modes(df: DataFrame, columns: list[str]) -> DataFrame:
     long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column", "v")
     counts = long.where(F.col("v").isNotNull()).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
     return counts.groupBy("column").agg(F.min_by("v", F.struct(-F.col("n"), "v")).alias("mode"))
+
+
+def group_quantiles(df: DataFrame, by: list[str], column: str, probabilities: list[float], names: list[str] | None = None) -> DataFrame:
+    """Exact interpolated quantiles of every group: ``by``, ``n`` and one column a probability.
+
+    Equal values are counted map-side; the distinct ones are sorted by range over all groups
+    together, so a group of any size is spread over tasks.  Counts of the ranges before give
+    every value its places, and the two values around a quantile's place are picked out.
+    Nulls and NaN take no part; a group without values is absent.
+    """
+    names = names or [f"p{round(p * 100)}" for p in probabilities]
+    value = F.col(column).cast("double")
+    counted = df.select(*by, value.alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)").groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ordered = counted.repartitionByRange(*by, "_v").sortWithinPartitions(*by, "_v").withColumn("_part", F.spark_partition_id())
+    ordered = materialise(ordered, "ordered")
+    pieces = ordered.groupBy(*by, "_part").agg(F.sum("_c").alias("_m"))
+    group = Window.partitionBy(*by)
+    before = F.coalesce(F.sum("_m").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pieces = pieces.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], F.col("_part").alias("_q"), before.alias("_before"), F.sum("_m").over(group).alias("_n"))
+    same = F.col("_part") == F.col("_q")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    within = F.sum("_c").over(Window.partitionBy(*by, "_part").orderBy("_v"))
+    placed = ordered.withColumn("_within", within).join(pieces, same)
+    upto = F.col("_before") + F.col("_within")
+
+    def at(place):
+        return F.max(F.when((upto > place) & (upto - F.col("_c") <= place), F.col("_v")))
+
+    ends = []
+    for i, p in enumerate(probabilities):
+        place = (F.col("_n") - 1) * F.lit(float(p))
+        ends += [at(F.floor(place)).alias(f"_lo{i}"), at(F.ceil(place)).alias(f"_hi{i}")]
+    found = placed.groupBy(*by).agg(F.max("_n").alias("n"), *ends)
+    out = []
+    for i, (p, name) in enumerate(zip(probabilities, names)):
+        place = (F.col("n") - 1) * F.lit(float(p))
+        out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (place - F.floor(place))).alias(name))
+    return found.select(*by, "n", *out)

@@ -8,6 +8,9 @@ partial row per task and bucket, not a hot reducer.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lithosense.constants import ZERO_THRESHOLD
@@ -143,13 +146,23 @@ def pooled_std_two_pass(finer: DataFrame, group: list[str], null_std: str = "pro
 
 
 def exact_rollup(finer: DataFrame, group: list[str]) -> DataFrame:
-    """True mean and sample deviation of the raw readings behind finer buckets."""
-    return named(
-        finer.groupBy(*group).agg(
-            stats.weighted_mean().alias("_mean"), F.min("min").alias("_min"), F.max("max").alias("_max"),
-            stats.exact_std().alias("_std"), F.sum("count").alias("_count"),
-        )
+    """True mean and sample deviation of the raw readings behind finer buckets, for groups of any size.
+
+    The groups' means are summed first and joined to the buckets, whose squared distances
+    from them are summed then; both sums are combined map-side, so no task holds a group,
+    and nothing cancels where values are far from zero.
+    """
+    keys = {c: f"_{c}_" for c in group}
+    means = finer.groupBy(*group).agg(stats.weighted_mean().alias("_centre")).withColumnsRenamed(keys)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()])
+    off = F.col("mean") - F.col("_centre")
+    s2 = F.coalesce(F.col("std") * F.col("std"), F.lit(0.0))
+    sums = finer.join(means, same).groupBy(*group).agg(
+        F.max("_centre").alias("_mean"), F.min("min").alias("_min"), F.max("max").alias("_max"), F.sum("count").alias("_count"),
+        F.sum((F.col("count") - 1) * s2 + F.col("count") * off * off).alias("_m2"),
     )
+    std = F.when(F.col("_count") > 1, F.sqrt(F.col("_m2") / (F.col("_count") - 1)))
+    return named(sums.withColumn("_std", std).select(*group, *[f"_{c}" for c in STATS]))
 
 
 def legacy_15min(enriched: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ def rules_for(kind: str, threshold: float | None = None) -> Rules:
     return base if threshold is None else Rules(base.kind, threshold, base.null_std, base.week_end)
 
 
-def _keep(df: DataFrame, rules: Rules) -> DataFrame:
+def keep(df: DataFrame, rules: Rules) -> DataFrame:
     return R.savable(df, rules.kind, rules.threshold or ZERO_THRESHOLD)
 
 
@@ -43,17 +43,17 @@ def cascade(readings: DataFrame, rules: Rules = TEMPERATURE) -> dict[str, DataFr
     aggregation all accept.  A (series, week) group is at most 672 rows, so it
     cannot become hot.
     """
-    fifteen = _keep(R.rollup_15min(readings, threshold=rules.threshold, null_std=rules.null_std), rules)
+    fifteen = keep(R.rollup_15min(readings, threshold=rules.threshold, null_std=rules.null_std), rules)
     day = day_of("timestamp")
     placed = fifteen.withColumns({"day": day, "week": week_of(day)}).repartition("series_id", "week")
-    hourly = _keep(R.rollup_hourly(placed, null_std=rules.null_std, carry=("day", "week")), rules)
-    daily = _keep(R.rollup_daily(hourly, null_std=rules.null_std, carry=("week",)), rules)
+    hourly = keep(R.rollup_hourly(placed, null_std=rules.null_std, carry=("day", "week")), rules)
+    daily = keep(R.rollup_daily(hourly, null_std=rules.null_std, carry=("week",)), rules)
     weekly = _weekly(daily, rules)
     return {
         "15min": fifteen,
         "hourly": hourly.drop("day", "week"),
         "daily": daily.drop("week"),
-        "weekly": _keep(weekly, rules),
+        "weekly": keep(weekly, rules),
     }
 
 
@@ -77,7 +77,7 @@ def level_of(finer: DataFrame, level: str, rules: Rules = TEMPERATURE) -> DataFr
         "daily": lambda: R.rollup_daily(finer, null_std=rules.null_std),
         "weekly": lambda: R.rollup_weekly(finer, null_std=rules.null_std, week_end=rules.week_end),
     }
-    return _keep(make[level](), rules)
+    return keep(make[level](), rules)
 
 
 def as_sensor_table(df: DataFrame) -> DataFrame:

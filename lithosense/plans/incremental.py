@@ -1,10 +1,10 @@
 """Stored levels brought up to date: only days that have changed are replaced.
 
-Delivered readings of any age are rolled up and held against the stored 15-minute level;
-the days of buckets that differ are written again and noted for the next level, which
-computes them (whole weeks by their Monday) beside the days since its own mark.  A
-delivery holds its buckets whole: a delivered bucket replaces the stored one, buckets that
-are not delivered stay.
+Delivered readings of any age become parts of their 15-minute buckets and merge with what
+earlier deliveries said about them (``plans.parts``), so a late reading adds to its bucket.
+The days of parts that are new or differ are written again and noted for the next level,
+which computes them (whole weeks by their Monday) beside the days since its own mark.
+Buckets that have not ended by ``as_of`` are kept as parts and appear in a later run.
 """
 
 from __future__ import annotations
@@ -15,14 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lithosense import schema as S
 from lithosense.constants import LEVELS
-from lithosense.functions.times import bucket_start, week_of
+from lithosense.functions.times import week_of
 from lithosense.operators import filters
-from lithosense.plans import cascade as C
+from lithosense.plans import cascade as C, parts as P
 from lithosense.session import materialise
 from lithosense.sources import readers, sinks, state
 
-VALUES = ["mean", "min", "max", "std", "count"]
-
 
 def first_day(spark: SparkSession, root: str, level: str, kind: str, late_days: int) -> date | None:
     """The first day to compute again: the job's mark less the days that may bring late rows,
@@ -51,50 +49,44 @@ def _note(days: DataFrame, root: str, level: str, kind: str, mode: str) -> None:
     days.coalesce(1).write.mode(mode).parquet(_noted_path(root, level, kind))
 
 
-def changed_readings(spark: SparkSession, root: str, rules: C.Rules, readings: DataFrame, as_of: str | None = None) -> DataFrame:
-    """15-minute rows of all days with a delivered bucket that differs from the stored one.
-
-    Delivered buckets replace stored ones, also where nothing valid is left of them; the
-    other stored buckets of these days stay.
-    """
-    fresh = C.level_of(readings, "15min", rules)
-    delivered = readings.where("timestamp IS NOT NULL").select(bucket_start("timestamp", "15 minutes").alias("timestamp"), "series_id").distinct()
-    if as_of:
-        fresh, delivered = (filters.closed_buckets(df, "15min", as_of) for df in (fresh, delivered))
-    day = F.col("timestamp").cast("date")
-    fresh, delivered = materialise(fresh, "fresh"), materialise(delivered, "delivered")
-    touched = delivered.select(day.alias("_day")).distinct()
-    stored = readers.scan_rollup(spark, root, "15min", rules.kind, dedup=False)
-    stored = materialise(stored.join(touched, day == F.col("_day"), "left_semi"), "stored")
-
-    def packed(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col("timestamp").alias(f"{name}_t"), F.col("series_id").alias(f"{name}_s"), F.struct(*VALUES).alias(name))
+def stored_level(spark: SparkSession, root: str, level: str, kind: str) -> DataFrame | None:
+    """A stored level with its ``day``, or None."""
+    path = f"{root}/kind={kind}/level={level}"
+    return spark.read.schema(S.ROLLUP[level] + ", day DATE").parquet(path) if sinks.exists(spark, path) else None
 
-    def same(name: str):
-        return (F.col("timestamp") == F.col(f"{name}_t")) & F.col("series_id").eqNullSafe(F.col(f"{name}_s"))
 
-    both = delivered.join(packed(fresh, "new"), same("new"), "left").join(packed(stored, "old"), same("old"), "left")
-    changed = both.where(~F.col("new").eqNullSafe(F.col("old"))).select(day.alias("_day")).distinct()
-    kept = stored.join(delivered.select(F.col("timestamp").alias("d_t"), F.col("series_id").alias("d_s")), same("d"), "left_anti")
-    return kept.unionByName(fresh.select(*kept.columns)).join(changed, day == F.col("_day"), "left_semi")
+def deliver(readings: DataFrame, root: str, rules: C.Rules, full: bool = False, overlap: bool = False) -> DataFrame:
+    """Merge readings into the stored parts and note the changed days for the 15-minute level; returns those days."""
+    spark = readings.sparkSession
+    if overlap:
+        readings = P.unseen(readings, root, rules.kind)
+    note = lambda days: _note(days, root, "15min", rules.kind, "append")
+    return P.add(readings, root, rules, stored_level(spark, root, "15min", rules.kind), note, replace_days=full)
 
 
 def update_level(
     spark: SparkSession, root: str, level: str, rules: C.Rules, readings: DataFrame | None = None,
-    as_of: str | None = None, late_days: int = 1, full: bool = False,
+    as_of: str | None = None, late_days: int = 1, full: bool = False, overlap: bool = False,
 ) -> DataFrame:
     """Compute one level from the finer one (``readings`` for 15 minutes), store it, move the mark.
 
-    For 15 minutes all readings are held against what is stored.  Above, the finer level's
-    day partitions from ``first_day`` on and those noted as changed are read; ``full`` reads
-    all and replaces whole days.  A run can be repeated.  Returns the rows written.
+    For 15 minutes all readings are merged with what is stored (without ``readings``, days
+    that were delivered otherwise are brought up to date): a column ``delivery`` names
+    the delivery of a reading (else the whole input is one, known by its content), and a
+    delivery that comes again changes nothing.  ``overlap`` says that deliveries may repeat
+    readings of others; of an (instant, series) the first delivery counts then.  Above, the
+    finer level's day partitions from ``first_day`` on and those noted as changed are read;
+    ``full`` reads all and replaces whole days.  A run can be repeated.  Returns the rows
+    written.
     """
     start = None if full else first_day(spark, root, level, rules.kind, late_days)
     noted = noted_days(spark, root, level, rules.kind)
-    if level == "15min" and start is not None:
-        rows = changed_readings(spark, root, rules, readings, as_of)
-    elif level == "15min":
-        rows = C.level_of(readings, level, rules)
+    if level == "15min":
+        if readings is not None:
+            deliver(readings, root, rules, full=full, overlap=overlap)
+        noted = noted_days(spark, root, level, rules.kind)
+        parts = P.read_parts(spark, root, rules.kind).where(F.col("day").isin(noted))
+        rows = C.keep(P.merged(parts, rules), rules)
     else:
         day = week_of(F.col("day")) if level == "weekly" else F.col("day")
         again = sorted({d - timedelta(days=d.weekday()) for d in noted}) if level == "weekly" else noted

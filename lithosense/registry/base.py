@@ -86,11 +86,12 @@ class Tables:
         """One series per event type."""
         return self.events.select(F.col("ts").alias("timestamp"), F.col("event_type").alias("series_id"), "value", "event_id")
 
-    def packed(self) -> DataFrame:
+    def packed(self, events: DataFrame | None = None) -> DataFrame:
         """Event time compressed fourfold, so that every quarter hour has many readings."""
+        events = self.events if events is None else events
         start = F.lit("2024-01-01").cast("timestamp_ntz")
         micros = F.floor(F.timestamp_diff("MICROSECOND", start, F.col("ts")) / 4)
-        return self.events.select(
+        return events.select(
             F.timestamp_add("MICROSECOND", micros, start).alias("timestamp"),
             F.when(F.col("user_id") % 10 == 0, "S1").otherwise("S0").alias("series_id"), "value", "event_id",
         )

@@ -198,3 +198,34 @@ def _(t):
     total = model.explain_local(data, KEYS).groupBy(*KEYS).agg((F.sum("contribution") + rows * model.intercept).alias("total"))
     both = model.transform(data).groupBy(*KEYS).agg(F.sum("prediction").alias("prediction")).join(total, KEYS)
     return both.select(*KEYS, (F.round(F.col("total") - F.col("prediction"), 6) + 0.0).alias("gap"))
+
+
+@query("digest_split", sql("SELECT CASE WHEN ('0x' || left(md5(id || '|' || line), 8))::BIGINT % 10000 < 2000 THEN 'test' ELSE 'train' END AS split, count(*) AS n, "
+    + r("avg(MAX_MEAN_DEPTH_1_8)", "mean") + " FROM model_table GROUP BY 1", "model_table"))
+def _(t):
+    """A split by the digest of the row's key."""
+    return rnd(P.digest_split(t.model_table(), ["id", "line"]).groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg(TARGET).alias("mean")))
+
+
+@query("shape_means", sql("SELECT x AS value, n, " + r("s / n - (SELECT sum(s) / sum(n) FROM means)", "score", 3) + " FROM means", "model_table", means=_MEANS.format("CONSTRUCTION_NO")))
+def _(t):
+    """Without penalty the shape of a single feature is the distance of its bin means from the mean."""
+    data = t.model_table()
+    model = additive.fit_additive(data, ["CONSTRUCTION_NO"], TARGET, max_bins=64, ridge=0.0)
+    shape = model.shape_table(t.spark).select("low", "high", "score", "n").where("n > 0")
+    values = data.select(F.col("CONSTRUCTION_NO").alias("value")).distinct()
+    return rnd(values.join(shape, (F.col("value") >= F.col("low")) & (F.col("value") < F.col("high"))).select("value", "n", "score"), 3)
+
+
+@query("stump_pred_vs_actual", sql(
+    "SELECT 'all' AS split, " + r("MAX_MEAN_DEPTH_1_8", "actual", 4) + ", " + r("CASE WHEN MAX_ANN_TEMP_AVG <= cut THEN left_mean ELSE right_mean END", "predicted", 4) + " FROM model_table, best",
+    "model_table", means=_MEANS.format("MAX_ANN_TEMP_AVG"),
+    sides="""SELECT x AS cut, sum(n) OVER w AS n1, sum(s) OVER w AS s1, (SELECT sum(n) FROM means) AS n_all, (SELECT sum(s) FROM means) AS s_all
+        FROM means WINDOW w AS (ORDER BY x)""",
+    best="""SELECT cut, s1 / n1 AS left_mean, (s_all - s1) / (n_all - n1) AS right_mean FROM sides WHERE n1 < n_all
+        ORDER BY s1 * s1 / n1 + (s_all - s1) * (s_all - s1) / (n_all - n1) DESC LIMIT 1"""))
+def _(t):
+    """Predictions of a one-split tree beside the target, a row each."""
+    data = RF.assemble(t.model_table(), ["MAX_ANN_TEMP_AVG"])
+    model = RF.forest(TARGET, trees=1, depth=1, subset="all", leaf=1, bootstrap=False).fit(data)
+    return rnd(evaluate.pred_vs_actual({"all": model.transform(data)}, TARGET), 4)

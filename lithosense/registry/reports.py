@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lithosense.constants import FEATURES, TARGET
 from lithosense.functions import numeric, text, times
-from lithosense.operators import filters, joins, sets, summaries
-from lithosense.operators.quantiles import describe, percentiles
+from lithosense.operators import filters, joins, sets, sketches, summaries
+from lithosense.operators.quantiles import describe, group_quantiles, percentiles
 from lithosense.operators.windows import dedup_first, dedup_rows, latest_per_series, rate_of_change
 from lithosense.plans import views
 from lithosense.registry.base import columns, query, r, rnd, sql
@@ -86,7 +87,7 @@ def _(t):
     return rnd(describe(t.events, "value"))
 
 
-_COR = ("ANL_KESAL_LTPP_LN_YR", "TOTAL_ANN_PRECIP", "MAX_ANN_TEMP_AVG", "REPR_THICKNESS", "MAX_MEAN_DEPTH_1_8")
+_COR = (*FEATURES, TARGET)
 
 
 @query("corr_matrix", sql(" UNION ALL ".join(
@@ -119,6 +120,21 @@ def _(t):
     return rnd(percentiles(t.lineitem, ["l_quantity", "l_extendedprice"], [0.05, 0.5, 0.95]))
 
 
+@query("percentiles_by_day", sql("SELECT CAST(\"timestamp\" AS DATE) AS date, series_id, count(*) AS n, " + ", ".join(
+    r(f"quantile_cont(value, {p})", f"p{round(p * 100)}") for p in (0.05, 0.5, 0.95)) + " FROM readings GROUP BY 1, 2", "readings"))
+def _(t):
+    """Three quantiles of every sensor and day."""
+    rows = t.readings().select(F.col("timestamp").cast("date").alias("date"), "series_id", "value")
+    return rnd(group_quantiles(rows, ["date", "series_id"], "value", [0.05, 0.5, 0.95]))
+
+
+@query("distinct_sketches", sql("SELECT CAST(date_trunc('week', \"timestamp\") AS DATE) AS week_start, series_id, count(*) AS n, count(DISTINCT round(value)) AS \"distinct\" FROM readings GROUP BY 1, 2", "readings"))
+def _(t):
+    """Distinct whole values a week, from sketches of hours merged into days and weeks."""
+    hours = sketches.hourly_sketches(t.readings().withColumn("value", F.round("value").cast("bigint")), "value")
+    return sketches.with_estimate(sketches.weekly_sketches(sketches.daily_sketches(hours)))
+
+
 @query("percentiles_narrowed", sql(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", {p}::DOUBLE AS p, {r(f'quantile_cont({c}, {p})', 'value')} FROM lineitem" for c in ("l_quantity", "l_extendedprice") for p in (0.25, 0.5, 0.75))))
 def _(t):

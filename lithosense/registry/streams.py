@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lithosense.plans.incremental import update_level
 from lithosense.registry.base import THRESHOLD, columns, query, rnd, sql
-from lithosense.registry.rollups import TS
+from lithosense.registry.rollups import DAY, SENSOR, TS, WEEK
 from lithosense.session import scratch_path
-from lithosense.streaming import rollups as S
+from lithosense.sources import readers
+from lithosense.streaming import late, rollups as S
 
 _EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
@@ -49,6 +51,33 @@ def _(t):
     return rnd(S.run_to_table(S.stream_hourly(_stream(t), "1 hour", THRESHOLD), "sh"))
 
 
+def _packed(t, folder: str | None = None):
+    return t.packed(S.read_stream(t.spark, folder or t.dir, _EVENTS, glob=None if folder else "events.parquet", files_per_batch=1))
+
+
+_PACKED_MAX = '(SELECT max("timestamp") FROM packed)'
+
+
+@query("stream_daily", sql(f"SELECT {columns(*DAY)} FROM pd WHERE date + INTERVAL 1 DAY <= {_PACKED_MAX} - INTERVAL 1 HOUR", "pd"))
+def _(t):
+    return rnd(S.run_to_table(S.stream_daily(_packed(t), "1 hour", THRESHOLD), "sday"))
+
+
+@query("stream_weekly", sql(f"SELECT {columns(*WEEK)} FROM pw WHERE week_start + INTERVAL 7 DAY <= {_PACKED_MAX} - INTERVAL 1 HOUR", "pw"))
+def _(t):
+    return rnd(S.run_to_table(S.stream_weekly(_packed(t), "1 hour", THRESHOLD), "sweek"))
+
+
+@query("stream_weekly_two_runs", sql(f"SELECT {columns(*WEEK)} FROM pw WHERE week_start + INTERVAL 7 DAY <= {_PACKED_MAX} - INTERVAL 1 HOUR", "pw"))
+def _(t):
+    """The state of open days and weeks outlives the run that opened them."""
+    folder, path = scratch_path(t.spark, "week-arrivals"), scratch_path(t.spark, "week-runs")
+    for part in (F.col("ts") < "2024-01-14", F.col("ts") >= "2024-01-14"):
+        t.events.where(part).coalesce(1).write.mode("append").parquet(folder)
+        out = S.run_to_table(S.stream_weekly(_packed(t, folder), "1 hour", THRESHOLD), "sweek2", path)
+    return rnd(out)
+
+
 @query("stream_dedup", sql("SELECT series_id, count(*) AS n FROM readings GROUP BY 1", "readings"))
 def _(t):
     """Every reading arrives twice and is kept once."""
@@ -66,6 +95,31 @@ def _(t):
     return t.spark.read.parquet(path).select("day", "series_id", "n", "high")
 
 
+@query("stream_late_rows", sql(f"SELECT {columns(*WEEK)} FROM pw", "pw"))
+def _(t):
+    """Files out of order: late rows wait in their table, are absorbed, and all levels equal one batch."""
+    root, folder = scratch_path(t.spark, "stream-late"), scratch_path(t.spark, "arrivals")
+    for part in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
+        t.packed().where(part).coalesce(1).write.mode("append").parquet(folder)
+        stream = S.read_stream(t.spark, folder, "timestamp TIMESTAMP_NTZ, series_id STRING, value DOUBLE", files_per_batch=1)
+        late.run_merging(stream, root, SENSOR)
+    late.absorb_late(t.spark, root, SENSOR)
+    for level in ("15min", "hourly", "daily", "weekly"):
+        update_level(t.spark, root, level, SENSOR)
+    return rnd(readers.scan_rollup(t.spark, root, "weekly"))
+
+
+@query("stream_late_table", sql("""SELECT count(*) AS n FROM packed WHERE event_id % 3 = 0
+    AND time_bucket(INTERVAL 15 MINUTE, "timestamp", TIMESTAMP '2000-01-01') + INTERVAL 15 MINUTE <= (SELECT max("timestamp") - INTERVAL 1 HOUR FROM packed WHERE event_id % 3 <> 0)""", "packed"))
+def _(t):
+    """How many rows the late table holds: those of buckets that had closed before their file came."""
+    root, folder = scratch_path(t.spark, "stream-late"), scratch_path(t.spark, "arrivals")
+    for part in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
+        t.packed().where(part).coalesce(1).write.mode("append").parquet(folder)
+        late.run_merging(S.read_stream(t.spark, folder, "timestamp TIMESTAMP_NTZ, series_id STRING, value DOUBLE"), root, SENSOR)
+    return late.late_rows(t.spark, root, "temperature").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("late_policy", sql("SELECT CAST(\"timestamp\" AS DATE) AS date, series_id, count(*) AS n FROM readings WHERE abs(value) > 1.0 GROUP BY 1, 2", "readings"))
 def _(t):
     """Days first stored without a third of their readings, then recomputed and replaced."""

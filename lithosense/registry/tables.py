@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from lithosense.operators import ingest as I
 from lithosense.plans import cascade as C
 from lithosense.plans.incremental import update_level
-from lithosense.registry.base import columns, query, rnd, sql
+from lithosense.registry.base import columns, query, r, rnd, sql
 from lithosense.registry.rollups import DAY, SENSOR, TS, WEEK, t15, z
 from lithosense.schema import SECTION_TABLES
-from lithosense.session import scratch_path
-from lithosense.sources import readers, sinks, state, warehouse
+from lithosense.session import materialise, scratch_path
+from lithosense.sources import clustered, readers, sinks, state, warehouse
 
 
 def _csv(df, path):
@@ -133,19 +133,47 @@ def _(t):
     return rnd(C.level_of(finer, "weekly", SENSOR))
 
 
+_STEPS = ("15min", "hourly", "daily", "weekly")
+
+
+def _deliveries(t):
+    """All readings in two: the second holds late ones, some of them days old, that share buckets with the first."""
+    noon = F.lit("2024-01-04 12:00:00").cast("timestamp_ntz")
+    early = (F.col("timestamp") < noon) & ((F.col("timestamp") < "2024-01-04") | (F.col("event_id") % 3 != 0))
+    early = early & ((F.col("timestamp") >= "2024-01-02") | (F.col("event_id") % 7 != 0))
+    return t.packed().where(early), t.packed().where(~early)
+
+
 @query("incremental_run", sql(f"SELECT {columns(*WEEK)} FROM pw", "pw"))
 def _(t):
-    """Readings in two deliveries, the second with late ones, some of them days old: two runs store what one would."""
+    """A first delivery, one of nothing but the late readings, and that one again: the runs store what one would."""
     root = scratch_path(t.spark, "incremental")
-    noon = F.lit("2024-01-04 12:00:00").cast("timestamp_ntz")
-    early = t.packed().where((F.col("timestamp") < noon) & ((F.col("timestamp") < "2024-01-04") | (F.col("event_id") % 3 != 0)))
-    early = early.where((F.col("timestamp") >= "2024-01-02") | (F.col("event_id") % 7 != 0))
-    for readings in (early, t.packed()):
-        for level in ("15min", "hourly", "daily", "weekly"):
+    first, late = _deliveries(t)
+    for readings in (first, late, late):
+        for level in _STEPS:
             update_level(t.spark, root, level, SENSOR, readings)
     return rnd(readers.scan_rollup(t.spark, root, "weekly"))
 
 
+@query("incremental_15min", sql(f"SELECT {columns(*TS)} FROM p15 WHERE {_VALID}", "p15"))
+def _(t):
+    """Buckets merged from parts of two deliveries, the second stored first."""
+    root = scratch_path(t.spark, "incremental-15min")
+    for readings in reversed(_deliveries(t)):
+        update_level(t.spark, root, "15min", SENSOR, readings)
+    return rnd(readers.scan_rollup(t.spark, root, "15min"))
+
+
+@query("incremental_overlap", sql(f"SELECT {columns(*WEEK)} FROM pw", "pw"))
+def _(t):
+    """Exports that overlap: the second delivery repeats all readings of the first."""
+    root = scratch_path(t.spark, "incremental-overlap")
+    for readings in (_deliveries(t)[0], t.packed(), t.packed()):
+        for level in _STEPS:
+            update_level(t.spark, root, level, SENSOR, readings, overlap=True)
+    return rnd(readers.scan_rollup(t.spark, root, "weekly"))
+
+
 @query("append_new_only", sql("SELECT week_start, series_id, count, 'old' AS origin FROM zw WHERE week_start < DATE '2024-01-15' UNION ALL SELECT week_start, series_id, count, 'new' FROM zw WHERE week_start >= DATE '2024-01-15'", "zw"))
 def _(t):
     path = scratch_path(t.spark, "append")
@@ -265,3 +293,25 @@ def _(t):
     out = t.spark.read.schema(target.schema).parquet(f"{root}/TempDataHourly")
     t.spark.sql(f"DROP DATABASE {db} CASCADE")  # tables are external: files stay
     return out.select("SensorID", F.col("MeanValue").cast("double").alias("MeanValue"), "ReadingCount", "IntervalEnd")
+
+
+@query("clustered_reports", sql("""SELECT x.event_id, x.series_id, layer, """ + r("value - lag(value) OVER (PARTITION BY x.series_id ORDER BY \"timestamp\", x.event_id)", "change") + """,
+    max("timestamp") OVER (PARTITION BY x.series_id) AS latest FROM readings x JOIN dim ON sensor_id = series_id""", "readings", "dim"))
+def _(t):
+    """Change, latest instant and layer of every reading, from two tables clustered by sensor."""
+    import uuid
+
+    from pyspark.sql import Window
+
+    name = f"c_{uuid.uuid4().hex[:12]}"
+    root = scratch_path(t.spark, "clustered")
+    reads = clustered.write_clustered(t.readings(), f"{name}_readings", 4, order=("timestamp", "event_id"), path=f"{root}/readings")
+    dim = clustered.write_clustered(t.dim().withColumnRenamed("sensor_id", "series_id"), f"{name}_dim", 4, order=(), path=f"{root}/dim")
+    series = Window.partitionBy("series_id")
+    out = reads.join(dim.select("series_id", "layer"), "series_id").select(
+        "event_id", "series_id", "layer", (F.col("value") - F.lag("value").over(series.orderBy("timestamp", "event_id"))).alias("change"), F.max("timestamp").over(series).alias("latest")
+    )
+    out = materialise(out, "clustered")
+    for part in ("readings", "dim"):
+        clustered.drop_table(reads, f"{name}_{part}")  # external: the catalog entry goes
+    return rnd(out)

@@ -94,14 +94,27 @@ def table_columns() -> dict[str, str]:
     return tables
 
 
-def create_schema(spark: SparkSession, database: str, root: str | None = None) -> list[str]:
-    """Create the database and its tables if they are missing; returns their names."""
+def _clustering(columns: str, buckets: int) -> str:
+    names = [c.split()[0] for c in columns.replace("DECIMAL(5,2)", "DECIMAL").replace("DECIMAL(9,2)", "DECIMAL").replace("DECIMAL(9,3)", "DECIMAL").split(",")if c.strip()]
+    if "SensorID" not in names:
+        return ""
+    order = [c for c in ("SensorID", "Timestamp") if c in names]
+    return f"CLUSTERED BY (SensorID) SORTED BY ({', '.join(order)}) INTO {buckets} BUCKETS "
+
+
+def create_schema(spark: SparkSession, database: str, root: str | None = None, buckets: int | None = None) -> list[str]:
+    """Create the database and its tables if they are missing; returns their names.
+
+    With ``buckets`` fact tables of sensors are clustered by sensor and sorted by sensor and
+    time within each day, so that joins and windows by sensor need no shuffle.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for name, columns in table_columns().items():
         fact = name not in _DIMENSIONS
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}{', Day DATE' if fact else ''}) USING parquet "
             + ("PARTITIONED BY (Day) " if fact else "")
+            + (_clustering(columns, buckets) if fact and buckets else "")
             + (f"LOCATION '{root}/{name}'" if root else "")
         )
     return sorted(table_columns())

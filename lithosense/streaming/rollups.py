@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lithosense.constants import ZERO_THRESHOLD
-from lithosense.operators.rollup import coarse_stats, named, rollup_15min
+from lithosense.operators.rollup import STATS, coarse_stats, named, rollup_15min
 from lithosense.session import scratch_path
 from lithosense.sources.sinks import upsert
 
@@ -61,6 +61,42 @@ def stream_hourly(
     return _flat(hours.withColumnRenamed("h", "w"))
 
 
+def _next_window(finer: DataFrame, width: str, null_std: str, start: str | None = None, *more) -> DataFrame:
+    """Closed windows of a finer level gathered in wider ones."""
+    window = F.window(F.window_time("w"), width, startTime=start) if start else F.window(F.window_time("w"), width)
+    return named(finer.groupBy(window.alias("x"), "series_id").agg(*more, *coarse_stats(null_std))).withColumnRenamed("x", "w")
+
+
+def _days(readings: DataFrame, delay: str, threshold: float | None, null_std: str) -> DataFrame:
+    hours = _next_window(_fifteen(readings, delay, threshold), "1 hour", null_std)
+    return _next_window(hours, "1 day", null_std)
+
+
+def stream_daily(
+    readings: DataFrame, delay: str = "1 hour", threshold: float | None = ZERO_THRESHOLD, null_std: str = "propagate"
+) -> DataFrame:
+    """Days from closed hours from closed quarters, within one query."""
+    days = _days(readings, delay, threshold, null_std)
+    return days.select(
+        F.col("w.start").cast("timestamp_ntz").cast("date").alias("date"), "series_id", *STATS, (F.col("max") - F.col("min")).alias("temp_range")
+    )
+
+
+def stream_weekly(
+    readings: DataFrame, delay: str = "1 hour", threshold: float | None = ZERO_THRESHOLD, null_std: str = "propagate", week_end: str = "data"
+) -> DataFrame:
+    """Monday weeks from closed days; ``week_end`` as in ``rollup_weekly``."""
+    days = _days(readings, delay, threshold, null_std)
+    if week_end == "data":
+        days = days.where(F.col("std").isNotNull())
+    last = F.max(F.col("w.start").cast("timestamp_ntz").cast("date")).alias("last")
+    # the epoch was a Thursday: weeks from Monday start four days on
+    weeks = _next_window(days, "7 days", null_std, "4 days", last)
+    monday = F.col("w.start").cast("timestamp_ntz").cast("date")
+    end = F.col("last") if week_end == "data" else F.date_add(monday, 6)
+    return weeks.select(monday.alias("week_start"), end.alias("week_end"), "series_id", *STATS, (F.col("max") - F.col("min")).alias("temp_range"))
+
+
 def stream_dedup(readings: DataFrame, delay: str = "1 hour", keys: tuple[str, ...] = ("timestamp", "series_id")) -> DataFrame:
     """One row per (instant, series); state per key is dropped with the watermark."""
     return watermarked(readings, delay).dropDuplicatesWithinWatermark(list(keys)).withColumn(
