@@ -127,8 +127,8 @@ def ann_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "op11_quality_rules",
-    """
-    WITH texts AS (
+    f"""
+    WITH {_CRC_TABLE}, texts AS (
       SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents
     ), words AS (
       SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS i
@@ -157,15 +157,21 @@ def ann_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), chosen AS (
       SELECT doc_id FROM trusted WHERE k < '8' ORDER BY k, doc_id LIMIT 20000
     ), grams AS (
-      SELECT rid, left(md5(word), 4) AS bucket FROM spans
-      UNION ALL SELECT rid, left(md5(word || ' ' || next), 4) FROM spans WHERE next IS NOT NULL
+      SELECT rid, word AS gram FROM spans UNION ALL SELECT rid, word || ' ' || next FROM spans WHERE next IS NOT NULL
+    ), spelt AS (
+      SELECT gram, hex(gram) AS x FROM (SELECT DISTINCT gram FROM grams)
+    ), hashed AS (
+      SELECT gram, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) & 65535 AS bucket FROM spelt, crc
+    ), placed AS (
+      SELECT rid, bucket FROM grams JOIN hashed USING (gram)
     ), buckets AS (
       SELECT bucket, count(*) AS r, count(c.doc_id) AS t
-      FROM grams JOIN texts USING (rid) LEFT JOIN chosen c ON c.doc_id = texts.doc_id GROUP BY bucket
+      FROM placed JOIN texts USING (rid) LEFT JOIN chosen c ON c.doc_id = texts.doc_id GROUP BY bucket
     ), ratios AS (
       SELECT bucket, round((ln((t + 1) / (sum(t) OVER () + 65536)) - ln((r + 1) / (sum(r) OVER () + 65536))) * 1048576)::BIGINT AS ratio FROM buckets
     ), scores AS (
-      SELECT rid, floor(sum(ratio)::BIGINT * 10000.0::DOUBLE / (count(*) * 1048576.0::DOUBLE))::BIGINT AS score FROM grams JOIN ratios USING (bucket) GROUP BY rid
+      SELECT rid, floor(sum(ratio)::BIGINT * 10000.0::DOUBLE / (count(*) * 1048576.0::DOUBLE))::BIGINT AS score FROM placed JOIN ratios USING (bucket) GROUP BY rid
     ), held AS (
       SELECT lang, score FROM scores JOIN measured m USING (rid) WHERE m.doc_id IN (SELECT doc_id FROM trusted WHERE k >= '8')
     ), ranked AS (

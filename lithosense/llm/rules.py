@@ -1,7 +1,7 @@
 """Quality rules: counts of a text's surface, and how much it reads like trusted text.
 
 The verdict is a log-likelihood ratio.  Words and pairs of neighbouring words are hashed into
-65,536 buckets (four hex digits of their MD5); over the buckets stand two smoothed multinomials,
+65,536 buckets (low half of their CRC-32); over the buckets stand two smoothed multinomials,
 one of trusted texts, one of the whole raw corpus.  A text's score is the mean over its n-grams
 of ``ln p(trusted) - ln p(raw)``.  Ratios are kept as whole multiples of 2^-20, so their sums are
 exact and a score does not depend on the order of addition or on the partitioning.
@@ -37,6 +37,7 @@ MAX_FIT_DOCS = 20_000
 LEAST_HELD_OUT = 20
 SPREADS = 2
 WINDOW = 5
+BUCKETS = 1 << 16
 SCALE, STEPS = 1 << 20, 10_000
 
 _BLANKS = "\t\n\x0b\f\r"
@@ -95,7 +96,7 @@ def base_failed() -> Column:
 
 
 def _bucket(gram: Column) -> Column:
-    return F.left(F.md5(gram.cast("binary")), F.lit(4))
+    return F.crc32(gram.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1))
 
 
 def _grams(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -125,7 +126,7 @@ def ratios(worded: DataFrame, trusted: DataFrame, max_fit_docs: int = MAX_FIT_DO
     grams = _grams(marked, ["_t"]).select("_t", F.explode_outer(F.array("one", "two")).alias("bucket")).filter("bucket IS NOT NULL")
     counts = written(grams.groupBy("bucket").agg(F.count("_t").alias("t"), F.count(F.lit(1)).alias("r")), "buckets")
     total_t, total_r = counts.agg(F.sum("t")).scalar(), counts.agg(F.sum("r")).scalar()
-    trust, raw = ((F.col(c) + 1) / (total + (1 << 16)) for c, total in (("t", total_t), ("r", total_r)))
+    trust, raw = ((F.col(c) + 1) / (total + BUCKETS) for c, total in (("t", total_t), ("r", total_r)))
     return counts.select("bucket", F.round((F.ln(trust) - F.ln(raw)) * SCALE).cast("long").alias("ratio"))
 
 
