@@ -1,18 +1,23 @@
 """Near-duplicate lines by a deletion-neighbourhood join.
 
-Lines are compared without surrounding blanks and case.  Equal lines, and lines of at
-least ``min_fuzzy_chars`` that differ by one inserted, removed or replaced character, are
-duplicates; a line goes if an earlier one (by document id, then place) is its duplicate.
+Lines are compared without surrounding blanks and case.  The edit bound is a share of the
+length: one inserted, removed or replaced character for lines of at least ``min_fuzzy_chars``,
+none for shorter ones.  A line goes if an earlier one (by document id, then place) is its
+duplicate.
+
+Rows are numbered once, in the order of their ids, and a line's place is one number made of
+the row's and its own; so rows that share an id, or have none, are cleaned each by itself.
 
 Equal lines meet by hash.  For the others every line would emit all its variants with one
 character removed; two lines within the bound share one.  As one of their halves is then
-equal, only lines that share a half with another line emit variants, and only those with
+equal, only lines that share a half with another emit variants, and only those with
 the other half touched.  Equal variants are joined; lines that lack a character at the
 same place differ by a replacement, a line that equals a variant of another by an
 insertion.  What meets is verified by edit distance, and the earliest is kept.
 
-Blank lines are no duplicates of anything.  Null texts stay null.  A null id sorts first.
-Rows that share an id are cleaned alike.  Lines of any length take part.
+Blank lines are no duplicates of anything.  Null texts stay null.  A null id sorts first.  Of
+rows with one id the order is that of their texts' hashes; rows repeated whole (id and text)
+have one number and are cleaned alike.  Lines of any length take part.  Ids may be of any type.
 """
 
 from __future__ import annotations
@@ -20,12 +25,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
 
-from lithosense.llm.common import ensure_importable, written
+from lithosense.llm.common import ensure_importable, fresh, written
 from lithosense.llm.words import mix
 
 MIN_FUZZY_CHARS = 20
@@ -33,34 +36,86 @@ _BLANKS = " \t\r\v\f"
 _LINE = ["h1", "h2"]
 
 
-def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, pos, norm, h1, h2`` for every line that is not blank; the two hashes name the line."""
-    rows = df.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
-    norm = rows.select("id", "pos", F.lower(F.trim("line", F.lit(_BLANKS))).alias("norm")).filter("norm <> ''")
-    return norm.withColumns({"h1": F.xxhash64("norm"), "h2": F.hash("norm")})
+_ROW_BITS = 33  # of a partition's own numbers in monotonically_increasing_id
+
+
+def _norm(line: Column) -> Column:
+    return F.lower(F.trim(line, F.lit(_BLANKS)))
 
 
-def _half_keys(norm: Column) -> Column:
-    """Keys of a line's halves: for lines one edit apart, one key is the same.
+class Places:
+    """A table's rows numbered by id, and the whole numbers that stand for places of lines.
+
+    A place is (partition, row, line) in one number, so places have the order of rows and
+    lines, and the earliest of equal lines is a minimum of numbers.
+    """
 
-    Halves are as long as half the shorter line, which may be this or one a character
-    shorter; lengths from 16 are cut to a multiple of 8, so most lines have one length.
+    def __init__(self, df: DataFrame, id_col: str, text_col: str):
+        self.columns, self.text_col = df.columns, text_col
+        self.row, content, id_, key = fresh(df, "_row", "_content", "_id", "_key")
+        marked = df.withColumn(content, F.xxhash64(F.col(f"`{text_col}`")))
+        order = [F.col(id_).asc_nulls_first(), F.col(key)]
+        rows = marked.select(F.col(f"`{id_col}`").alias(id_), F.col(content).alias(key)).distinct()
+        numbers = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(self.row, F.monotonically_increasing_id())
+        numbers = written(numbers, "numbers")
+        same = F.col(f"`{id_col}`").eqNullSafe(F.col(id_)) & (F.col(content) == F.col(key))
+        self.table = written(marked.join(numbers.hint("shuffle_hash"), same).drop(content, id_, key), "numbered")
+        part, own = F.shiftright(F.col(self.row), _ROW_BITS), F.col(self.row).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+        most = self.table.agg(F.max(part), F.max(own), F.max(F.size(self.split()))).first()
+        part_bits, self.own_bits, self.line_bits = (max(0, v or 0).bit_length() for v in most)
+        if part_bits + self.own_bits + self.line_bits > 63:
+            raise ValueError("more rows and lines than 63 bits can number")
+        self.code = F.shiftleft(part, self.own_bits).bitwiseOR(own)
+
+    def split(self) -> Column:
+        return F.split(F.col(f"`{self.text_col}`"), "\n", -1)
+
+    def raw(self) -> DataFrame:
+        """``place, line`` for every line."""
+        rows = self.table.select(self.code.alias("code"), F.posexplode(self.split()).alias("pos", "line"))
+        return rows.select(F.shiftleft("code", self.line_bits).bitwiseOR(F.col("pos")).alias("place"), "line")
+
+    def lines(self) -> DataFrame:
+        """``place, norm, h1, h2`` for every line that is not blank; the two hashes name the line."""
+        norm = self.raw().select("place", _norm(F.col("line")).alias("norm")).filter("norm <> ''")
+        return norm.withColumns({"h1": F.xxhash64("norm"), "h2": F.hash("norm")})
+
+    def row_of(self, place: Column) -> Column:
+        return F.shiftright(place, self.line_bits)
+
+    def line_of(self, place: Column) -> Column:
+        return place.bitwiseAND(F.lit((1 << self.line_bits) - 1)).cast("int")
+
+
+def _sizes(norm: Column) -> tuple[Column, Column]:
+    """Lengths of a line's halves: half of this line, and half of one a character shorter.
+
+    Lines one edit apart have one length in common; lengths from 16 are cut to a multiple of
+    8, so most lines have one length.
     """
 
     def cut(h: Column) -> Column:
-        return F.when(h < 16, h).otherwise(h - h % 8)
+        return F.when(h < 16, h).otherwise(h - h % 8).cast("int")
 
     n = F.length(norm)
-    lengths = F.array_distinct(F.array(cut(F.floor(n / 2).cast("int")), cut(F.floor((n - 1) / 2).cast("int"))))
-    return F.flatten(
-        F.transform(
-            lengths,
-            lambda h: F.array(
-                F.struct(F.lit(0).alias("side"), h.alias("size"), F.xxhash64(F.lit(0), h, F.left(norm, h)).alias("key")),
-                F.struct(F.lit(1).alias("side"), h.alias("size"), F.xxhash64(F.lit(1), h, F.right(norm, h)).alias("key")),
-            ),
-        )
-    )
+    return cut(F.floor(n / 2)), cut(F.floor((n - 1) / 2))
+
+
+def _half_keys(norm: Column) -> list[Column]:
+    """Keys of a line's halves (left, right, and for the second length again, null if it is the first): for lines
+    one edit apart, one key is the same."""
+    sizes = _sizes(norm)
+    out = []
+    for i, h in enumerate(sizes):
+        pair = [F.xxhash64(F.lit(0), h, F.left(norm, h)), F.xxhash64(F.lit(1), h, F.right(norm, h))]
+        out += pair if i == 0 else [F.when(sizes[0] != h, key) for key in pair]
+    return out
+
+
+def _halves(norm: Column) -> Column:
+    """The halves as an array of (side, size, key)."""
+    sizes = _sizes(norm)
+    return F.array(*[F.struct(F.lit(k % 2).alias("side"), sizes[k // 2].alias("size"), key.alias("key")) for k, key in enumerate(_half_keys(norm))])
 
 
 def _polynomials(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -96,10 +151,8 @@ def whole(line: str) -> int:
     return mix(weighted[-1:] * power[1], len(codes))[0]
 
 
-_SENT = pa.schema(
-    [("v", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("h1", pa.int64()), ("h2", pa.int32()), ("id", pa.int64()), ("pos", pa.int32())]
-)
-_SENT_DDL = "v bigint, low int, high int, h1 bigint, h2 int, id bigint, pos int"
+_SENT = pa.schema([("v", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("place", pa.int64())])
+_SENT_DDL = "v bigint, low int, high int, place bigint"
 
 
 def _neighbourhood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +167,7 @@ def _neighbourhood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 v, first, last = variants(line, low, high)
                 v = np.append(v, np.uint64(whole(line)))
                 first, last = np.append(first, -1), np.append(last, -1)
-                parts.append((mix(v ^ np.uint64(half["key"] % (1 << 64))).view(np.int64), first, last, row["h1"], row["h2"], row["id"], row["pos"]))
+                parts.append((mix(v ^ np.uint64(half["key"] % (1 << 64))).view(np.int64), first, last, row["place"]))
                 size += len(v)
             if size > 100_000:
                 yield _pack(parts)
@@ -124,14 +177,9 @@ def _neighbourhood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _pack(parts: list[tuple]) -> pa.RecordBatch:
-    sizes = [len(p[0]) for p in parts]
-    columns = [np.concatenate([p[k] for p in parts]) for k in range(3)]
-    columns += [np.repeat(np.array([p[k] for p in parts]), sizes) for k in (3, 4)]
-    ids = pa.array([p[5] for p in parts], pa.int64()).take(pa.array(np.repeat(np.arange(len(parts)), sizes)))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[0]), pa.array(columns[1].astype(np.int32)), pa.array(columns[2].astype(np.int32)), pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int32()), ids, pa.array(np.repeat(np.array([p[6] for p in parts], np.int32), sizes))],
-        schema=_SENT,
-    )
+    v, low, high = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    place = np.repeat(np.array([p[3] for p in parts], np.int64), [len(p[0]) for p in parts])
+    return pa.RecordBatch.from_arrays([pa.array(v), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array(place)], schema=_SENT)
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,18 +188,19 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A variant is met by at most one line for each character that can fill each of its gaps,
     so a group does not grow with the table.
     """
-    group: list[dict] = []
+    group: list[tuple] = []
     for batch in batches:
         v = batch.column("v").to_numpy()
-        same = np.concatenate([[bool(group) and group[-1]["v"] == v[0]], v[1:] == v[:-1]]) if len(v) else np.zeros(0, bool)
+        same = np.concatenate([[bool(group) and group[-1][0] == v[0]], v[1:] == v[:-1]]) if len(v) else np.zeros(0, bool)
         # only rows with an equal neighbour matter; the last may have one in the next batch
         wanted = same.copy()
         wanted[:-1] |= same[1:]
         if len(v):
             wanted[-1] = True
         out: list[tuple] = []
-        for row in batch.filter(pa.array(wanted)).to_pylist():
-            if group and group[-1]["v"] != row["v"]:
+        kept = batch.filter(pa.array(wanted))
+        for row in zip(*(kept.column(c).to_pylist() for c in ("v", "low", "high", "place"))):
+            if group and group[-1][0] != row[0]:
                 out += _pairs(group)
                 group = []
             group.append(row)
@@ -159,89 +208,89 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _pair_batch(_pairs(group))
 
 
-def _order(row: dict) -> tuple:
-    return (row["id"] is not None, row["id"] or 0, row["pos"], row["h1"], row["h2"])
-
-
-def _pairs(group: list[dict]) -> list[tuple]:
+def _pairs(group: list[tuple]) -> list[tuple]:
+    """(later, earlier) places of rows (v, low, high, place) that one variant brought together."""
     if len(group) < 2:
         return []
     found = set()
 
-    def link(a: dict, b: dict) -> None:
-        late, early = (a, b) if _order(b) < _order(a) else (b, a)
-        if _order(early) < _order(late):
-            found.add((late["h1"], late["h2"], early["h1"], early["h2"]))
+    def link(a: int, b: int) -> None:
+        if a != b:
+            found.add((max(a, b), min(a, b)))
 
-    rows = sorted(group, key=_order)
-    selves, removed = [r for r in rows if r["low"] < 0], [r for r in rows if r["low"] >= 0]
+    selves = [place for _, low, _, place in group if low < 0]
+    removed = sorted((place, low, high) for _, low, high, place in group if low >= 0)
     for s in selves:
-        for r in removed:
-            link(s, r)
-    earliest: dict[int, dict] = {}
-    for r in removed:
-        for gap in range(r["low"], r["high"] + 1):
-            link(earliest.setdefault(gap, r), r)
+        for place, _, _ in removed:
+            link(s, place)
+    earliest: dict[int, int] = {}
+    for place, low, high in removed:
+        for gap in range(low, high + 1):
+            link(earliest.setdefault(gap, place), place)
     return list(found)
 
 
-_PAIR_DDL = "l1 bigint, l2 int, e1 bigint, e2 int"
-
-
 def _pair_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32())
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["l1", "l2", "e1", "e2"])
-
-
-def _near(lines: DataFrame, min_fuzzy_chars: int) -> DataFrame:
-    """``h1, h2, near_id, near_pos``: for lines with an earlier line one edit away, the earliest one found."""
-    fuzzy = lines.filter(F.length("norm") >= min_fuzzy_chars)
-    halves = written(fuzzy.select("h1", F.explode(_half_keys(F.col("norm"))).alias("half")).select("h1", "half.key"), "halves")
-    shared = halves.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low < high").select("key")
-    owners = written(halves.join(shared, "key").distinct().groupBy("h1").agg(F.collect_set("key").alias("keys")), "shared-halves")
-    # a fixed kind of join where texts travel: the plan, and so the disk it takes, is the same at every size
-    whole_lines = fuzzy.join(owners.hint("merge"), "h1").groupBy(*_LINE).agg(
-        F.min(F.struct("id", "pos")).alias("at"), F.min("norm").alias("norm"), F.first("keys").alias("keys")
-    )
-    halves_kept = F.filter(_half_keys(F.col("norm")), lambda h: F.array_contains("keys", h["key"]))
-    candidates = written(whole_lines.select(*_LINE, F.col("at.id").alias("id"), F.col("at.pos").alias("pos"), "norm", halves_kept.alias("halves")), "lines")
-    sent = candidates.select(*_LINE, F.col("id").cast("long").alias("id"), "pos", "norm", "halves").mapInArrow(_neighbourhood, _SENT_DDL)
-    pairs = written(sent.repartition("v").sortWithinPartitions("v").mapInArrow(_meet, _PAIR_DDL), "pairs").distinct()
-    late = candidates.select(F.col("h1").alias("l1"), F.col("h2").alias("l2"), F.col("norm").alias("late"))
-    early = candidates.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("norm").alias("early"), F.struct("id", "pos").alias("at"))
-    verified = pairs.join(late, ["l1", "l2"]).join(early, ["e1", "e2"]).filter(F.levenshtein("late", "early", 1) >= 0)
-    return written(verified.groupBy(F.col("l1").alias("h1"), F.col("l2").alias("h2")).agg(F.min("at").alias("near")), "near-lines")
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(2)], names=["late", "early"])
+
+
+def _near(raw: DataFrame, distinct: DataFrame) -> DataFrame:
+    """``late, near``: places of lines (at their first occurrence) with an earlier line one edit away, and the earliest found."""
+    halves = distinct.select("place", F.explode(F.array_compact(F.array(*_KEYS))).alias("key"))
+    shared = halves.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    owners = halves.join(shared, "key").groupBy("place").agg(F.collect_set("key").alias("keys"))
+    # a fixed kind of join where texts travel: the plan, and so the disk it takes, is the same at every size;
+    # the small side is hashed, so that texts need no sort
+    found = raw.join(owners.hint("shuffle_hash"), "place").select("place", "keys", _norm(F.col("line")).alias("norm"))
+    norm = F.col("norm")
+    halves_kept = F.filter(_halves(norm), lambda h: F.array_contains("keys", h["key"]))
+    candidates = written(found.select("place", "norm", halves_kept.alias("halves")), "lines")
+    sent = candidates.mapInArrow(_neighbourhood, _SENT_DDL)
+    pairs = written(sent.repartition("v").sortWithinPartitions("v").mapInArrow(_meet, "late bigint, early bigint"), "pairs").distinct()
+    late = candidates.select(F.col("place").alias("late"), norm.alias("late_norm"))
+    early = candidates.select(F.col("place").alias("early"), norm.alias("early_norm"))
+    verified = pairs.join(late, "late").join(early, "early").filter(F.levenshtein("late_norm", "early_norm", 1) >= 0)
+    return verified.groupBy("late").agg(F.min("early").alias("near"))
+
+
+_KEYS = [f"key{i}" for i in range(4)]
+
+
+def _doomed(places: Places, min_fuzzy_chars: int) -> DataFrame:
+    """``place`` of every line that has an earlier duplicate."""
+    lines = places.lines()
+    fuzzy = F.length("norm") >= min_fuzzy_chars
+    keyed = lines.select("place", *_LINE, *[F.when(fuzzy, key).alias(k) for k, key in zip(_KEYS, _half_keys(F.col("norm")))])
+    # numbers only: lines are made distinct by a hash aggregation, combined map-side
+    distinct = keyed.groupBy(*_LINE).agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n"), *[F.min(k).alias(k) for k in _KEYS])
+    distinct = written(distinct, "distinct-lines")
+    near = _near(places.raw(), distinct)
+    marked = distinct.select(*_LINE, "place", "n").join(near, F.col("place") == F.col("late"), "left")
+    bad = written(marked.filter("n > 1 OR near IS NOT NULL").select(*_LINE, F.coalesce("near", "place").alias("earliest")), "bad-lines")
+    return lines.select("place", *_LINE).join(bad, _LINE).filter("earliest < place").select("place")
 
 
 def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_fuzzy_chars: int = MIN_FUZZY_CHARS) -> DataFrame:
     """``id, pos`` of every line that has an earlier duplicate."""
     ensure_importable(df.sparkSession)
-    lines = _lines(df, id_col, text_col)
-    near = _near(lines, min_fuzzy_chars)
-    at = F.struct("id", "pos")
-    again = lines.groupBy(*_LINE).agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    bad = written(
-        again.join(near, _LINE, "full").select(*_LINE, F.least("first", "near").alias("earliest")), "bad-lines"
-    )
-    return lines.select("id", "pos", *_LINE).join(bad, _LINE).filter(F.col("earliest") < at).select("id", "pos")
-
-
-@F.pandas_udf(StringType())
-def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
-    def one(t, places):
-        if t is None or places is None:
-            return t
-        drop = set(map(int, places))
-        return "\n".join(line for i, line in enumerate(t.split("\n")) if i not in drop)
-
-    return pd.Series([one(t, g) for t, g in zip(text, gone)], dtype=object)
+    places = Places(df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "id", "text")
+    gone = _doomed(places, min_fuzzy_chars).select(places.row_of(F.col("place")).alias("at"), places.line_of(F.col("place")).alias("pos"))
+    return gone.join(places.table.select(places.code.alias("at"), "id"), "at").select("id", "pos")
 
 
 def remove_duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_fuzzy_chars: int = MIN_FUZZY_CHARS) -> DataFrame:
     """``df`` with the text cleaned, plus ``n_lines`` (not blank, before) and ``n_dropped``."""
-    gone = duplicate_lines(df, id_col, text_col, min_fuzzy_chars).groupBy(F.col("id").alias("_id")).agg(F.collect_set("pos").alias("_gone"))
-    joined = df.drop("n_lines", "n_dropped").join(gone.hint("merge"), F.col(f"`{id_col}`").eqNullSafe(F.col("_id")), "left")
-    filled = F.filter(F.split(F.col(text_col), "\n", -1), lambda x: F.trim(x, F.lit(_BLANKS)) != "")
-    counted = joined.withColumns({"n_lines": F.coalesce(F.size(filled), F.lit(0)).cast("long"), "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")})
-    cleaned = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(_without(F.col(text_col), F.col("_gone")))
-    return counted.withColumn(text_col, cleaned).drop("_id", "_gone")
+    ensure_importable(df.sparkSession)
+    places = Places(df.drop("n_lines", "n_dropped"), id_col, text_col)
+    at, gone = fresh(places.table, "_at", "_gone")
+    doomed = _doomed(places, min_fuzzy_chars)
+    # one document's lines
+    dropped = doomed.groupBy(places.row_of(F.col("place")).alias(at)).agg(F.collect_list(places.line_of(F.col("place"))).alias(gone))
+    joined = places.table.join(dropped.hint("shuffle_hash"), places.code == F.col(at), "left")
+    lines, text = places.split(), F.col(f"`{text_col}`")
+    filled = F.filter(lines, lambda x: F.trim(x, F.lit(_BLANKS)) != "")
+    counted = joined.withColumns({"n_lines": F.coalesce(F.size(filled), F.lit(0)).cast("long"), "n_dropped": F.coalesce(F.size(gone), F.lit(0)).cast("long")})
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    # lines are bound to a variable, so that the text is split once
+    cleaned = F.transform(F.array(lines), lambda x: F.array_join(F.transform(left, lambda i: F.get(x, i)), "\n"))[0]
+    return counted.withColumn(text_col, F.when(F.col(gone).isNull(), text).otherwise(cleaned)).select(*places.columns, "n_lines", "n_dropped")

@@ -81,3 +81,21 @@ def test_hot_lines_long_lines_and_repeated_ids(docs):
 
 def test_empty_table(docs):
     assert line_dedup.remove_duplicate_lines(docs([])).count() == 0
+
+
+def test_rows_that_share_an_id_keep_their_own_lines(spark, docs):
+    rows = [(1, "shared line"), (5, "shared line\nunique alpha line"), (5, "unique beta line\nanother gamma line"), (None, "first of none\nshared line"), (None, "yy different unique line\nfirst of none"), (None, None)]
+    got = sorted((str(r["doc_id"]), str(r["text"]), r["n_dropped"]) for r in line_dedup.remove_duplicate_lines(docs(rows)).collect())
+    # a null id sorts first: its row keeps the shared line; of the two null rows one keeps "first of none"
+    lines = [line for _, text, _ in got for line in text.split("\n") if line and text != "None"]
+    assert sorted(lines) == sorted(["unique alpha line", "unique beta line", "another gamma line", "shared line", "first of none", "yy different unique line"])
+    assert ("1", "", 1) in got and ("5", "unique alpha line", 1) in got and ("5", "unique beta line\nanother gamma line", 0) in got
+
+
+def test_text_ids_and_clashing_columns(spark):
+    a, b = "the very same line of some length", "the very same line of some lengths"
+    df = spark.createDataFrame([("b", a, 1, 2, 3, 4), ("a", b, 1, 2, 3, 4)], "doc_id string, text string, _row int, _gone int, _at int, place int")
+    out = line_dedup.remove_duplicate_lines(df)
+    assert out.columns == [*df.columns, "n_lines", "n_dropped"]
+    assert {r["doc_id"]: (r["text"], r["_row"], r["_gone"]) for r in out.collect()} == {"a": (b, 1, 2), "b": ("", 1, 2)}
+    assert [(r["id"], r["pos"]) for r in line_dedup.duplicate_lines(df).collect()] == [("b", 0)]
