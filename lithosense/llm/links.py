@@ -26,6 +26,23 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("id"), F.col("a").alias("component")).unionByName(roots)
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (``id, component``) after more ``links(a, b)``; ids without a label are components of their own.
+
+    Only links between components go through the rounds; without any the labels stay.
+    """
+    of = lambda side, name: labels.select(F.col("id").alias(side), F.col("component").alias(name))
+    named = links.join(of("a", "p"), "a", "left").join(of("b", "q"), "b", "left")
+    ends = named.select(F.coalesce("p", "a").alias("a"), F.coalesce("q", "b").alias("b")).filter("a <> b")
+    ends = written(ends.distinct(), "component-links")
+    if ends.isEmpty():
+        return labels
+    joined = components(ends)
+    moved = labels.join(joined.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left")
+    new = joined.join(labels.select("id"), "id", "left_anti")
+    return written(moved.select("id", F.coalesce("to", "component").alias("component")).unionByName(new.select("id", "component")), "labels")
+
+
 def _larger_step(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))

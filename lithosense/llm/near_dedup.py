@@ -8,17 +8,30 @@ similar, for short texts too.  Bands of five registers propose links.
 Texts with equal sets are one class from the start; only class representatives go on.  In
 every band bucket each member is held against one centre, the member that meets most
 others, and what this links is joined into components.  So a big group of near copies
-costs one comparison a member.  Of the members that stay apart, only those pairs are
-looked at again that can be linked given what each shares with the centre; no link is
-lost.  A pair first passes the collision-corrected estimate from the registers (with a
-wide margin), then the exact comparison of both whole sets.
+costs one comparison a member.
+
+Then every bucket takes as its centre the hub of its centre's component: the member with
+most company of all, the original among its near copies.  Only pairs of different
+components are still wanted, and distances to the hub rule most of them out:
+
+* both near the hub: they share no more than what each shares with it, and what they share
+  outside of it; the latter is joined shingle by shingle, and near the hub it is rare;
+* one far from the hub, the other linked to it: further apart than a link, as Jaccard
+  distance is a metric;
+* one far, the other not linked: all such members go through a prefix filter.  Of sets with
+  similarity t the first ``(1 - t) * n + 1`` shingles share one, in any fixed order; shingles that
+  only one component has come first, then rare before common ones.  So members that share
+  a template, but have a fifth of their text to themselves, meet nobody.
+
+No link is lost.  A pair first passes the collision-corrected estimate from the registers
+(with a wide margin), then the exact comparison of both whole sets.
 
 A pair at similarity 0.8 shares none of the 40 bands with probability 2e-7.
 
 Defined cases: null and empty texts have an empty set, link with nothing and are kept; a
 text of fewer words than a shingle has its whole sequence as its only shingle; rows that
 share an id are one document, joined by the links of each; a null id is kept and links
-with nothing.
+with nothing.  Ids may be of any type that has an order; whole numbers come back as long.
 """
 
 from __future__ import annotations
@@ -27,15 +40,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from lithosense.llm.common import ensure_importable, written
-from lithosense.llm.links import components
+from lithosense.llm.common import ensure_importable, fresh, written
+from lithosense.llm.links import components, merged
 from lithosense.llm.words import chunks, mix, shingle_sets
 
 BUCKETS, MANTISSA_BITS = 256, 10
 BANDS, ROWS = 40, 5
-MARGIN = 0.3  # how far below the threshold an estimate may lie before a pair is given up: over 10 deviations
+MARGIN = 0.4  # how far below the threshold an estimate may lie before a pair is given up; half of it is 4 deviations
 
 _PRIORITY = np.argsort(np.random.default_rng(7).random((BUCKETS, BUCKETS)), axis=1).astype(np.uint16)
 
@@ -101,9 +114,18 @@ def sketches(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
                     names=["id", "n_shingles", "f1", "f2", "regs"],
                 )
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id bigint, n_shingles bigint, f1 bigint, f2 bigint, regs binary"
-    )
+    rows = df.select(_id(df, id_col).alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return rows.mapInArrow(run, f"id {_kind(rows)}, n_shingles bigint, f1 bigint, f2 bigint, regs binary")
+
+
+def _id(df: DataFrame, id_col: str) -> Column:
+    """The id as it is; whole numbers as long."""
+    whole = df.schema[id_col].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    return F.col(f"`{id_col}`").cast("long") if whole else F.col(f"`{id_col}`")
+
+
+def _kind(df: DataFrame, column: str = "id") -> str:
+    return df.schema[column].dataType.simpleString()
 
 
 def _bands(representatives: DataFrame) -> DataFrame:
@@ -112,10 +134,10 @@ def _bands(representatives: DataFrame) -> DataFrame:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
                 regs = np.frombuffer(b"".join(part.column("regs").to_pylist()), np.uint16).reshape(part.num_rows, BUCKETS)
-                ids = np.repeat(part.column("id").to_numpy(), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(band_keys(regs).ravel()), pa.array(ids)], names=["key", "id"])
+                ids = part.column("id").take(pa.array(np.repeat(np.arange(part.num_rows), BANDS)))
+                yield pa.RecordBatch.from_arrays([pa.array(band_keys(regs).ravel()), ids], names=["key", "id"])
 
-    return representatives.select("id", "regs").mapInArrow(run, "key bigint, id bigint")
+    return representatives.select("id", "regs").mapInArrow(run, f"key bigint, id {_kind(representatives)}")
 
 
 def _estimated(pairs: DataFrame, regs: DataFrame, threshold: int) -> DataFrame:
@@ -133,7 +155,7 @@ def _estimated(pairs: DataFrame, regs: DataFrame, threshold: int) -> DataFrame:
     both = pairs.join(known.select(F.col("id").alias("b"), F.col("regs").alias("rb")), "b").join(
         known.select(F.col("id").alias("a"), F.col("regs").alias("ra")), "a"
     )
-    return both.select("a", "b", "ra", "rb").mapInArrow(run, "a bigint, b bigint, near boolean")
+    return both.select("a", "b", "ra", "rb").mapInArrow(run, f"a {_kind(regs)}, b {_kind(regs)}, near boolean")
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -156,18 +178,22 @@ def _compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     whole = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(
         texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a"
     )
-    return whole.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, both bigint, outside array<bigint>")
+    return whole.select("a", "b", "ta", "tb").mapInArrow(
+        run, f"a {_kind(texts)}, b {_kind(texts)}, na bigint, nb bigint, both bigint, outside array<bigint>"
+    )
+
+
+def _linked(pairs: DataFrame, threshold: int) -> Column:
+    return 100 * F.col("both") >= threshold * (F.col("na") + F.col("nb") - F.col("both"))
 
 
-def _remaining(open_bands: DataFrame, estimated: DataFrame, compared: DataFrame, label: DataFrame, threshold: int) -> DataFrame:
-    """``a, b``: pairs of different components that may be linked although their centre did not join them.
+def _near_the_hub(compared: DataFrame, label: DataFrame, threshold: int) -> DataFrame:
+    """``a, b``: pairs near one hub that may be linked, of different components.
 
-    Let both members of a pair be near centre C, sharing ``i`` and ``j`` shingles with it, and
-    ``t`` shingles with each other that C has not.  They share at most ``min(i, j) + t``.  So
-    they either share some shingle outside of C (an equi-join on it, counted), or are linked
-    by ``min(i, j)`` alone, which limits the partner's size to a few values (an equi-join on
-    those).  One of the two is itself not linked to C.  If one is far from C, the other is
-    not close to it, and their band buckets pair them.
+    Let both members share ``i`` and ``j`` shingles with hub C, and ``t`` with each other that C has not.  They share at
+    most ``min(i, j) + t``.  So they either share some shingle outside of C (an equi-join on it,
+    counted), or are linked by ``min(i, j)`` alone, which limits the partner's size to a few
+    values (an equi-join on those).  One of the two is itself not linked to C.
     """
     t, all_ = threshold, 100 + threshold
     centred = compared.select(F.col("a").alias("c"), F.col("b").alias("id"), F.col("nb").alias("n"), F.col("both").alias("i"), F.col("na").alias("nc"), "outside")
@@ -189,14 +215,46 @@ def _remaining(open_bands: DataFrame, estimated: DataFrame, compared: DataFrame,
         .join(y.drop("outside"), ["c", "n2"])
         .filter(different & (all_ * F.least("i1", "i2") >= t * (F.col("n1") + F.col("n2"))))
     )
-    bands = open_bands.join(label, "id", "left").select("key", "centre", "id", F.coalesce("component", "id").alias("component"))
-    known = compared.select(F.col("a").alias("centre"), F.col("b").alias("id"), (10 * F.col("both") > 9 * (F.col("na") + F.col("nb") - F.col("both"))).alias("close"))
-    far = estimated.filter("NOT near").select(F.col("a").alias("centre"), F.col("b").alias("id"))
-    far_rows = bands.join(far, ["centre", "id"]).select("key", F.col("id").alias("a"), F.col("component").alias("p"))
-    other = bands.filter("id <> centre").join(known.filter("close"), ["centre", "id"], "left_anti").select("key", F.col("id").alias("b"), F.col("component").alias("q"))
-    apart = far_rows.join(other, "key").filter("p <> q")
-    pairs = shared.select("a", "b").unionByName(sized.select("a", "b")).unionByName(apart.select("a", "b"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return shared.select("a", "b").unionByName(sized.select("a", "b"))
+
+
+def _shingles(texts: DataFrame, width: int) -> DataFrame:
+    """``id, k, n, s``: each shingle of each text; ``k`` tells texts of one id apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, part in chunks(batch.column("text")):
+                sets = shingle_sets(part, width)
+                sizes = [len(x) for x in sets]
+                ids = batch.column("id").slice(row, len(sets)).take(pa.array(np.repeat(np.arange(len(sets)), sizes)))
+                k = batch.column("k").slice(row, len(sets)).take(pa.array(np.repeat(np.arange(len(sets)), sizes)))
+                n, s = pa.array(np.repeat(np.array(sizes, np.int64), sizes)), pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))
+                yield pa.RecordBatch.from_arrays([ids, k, n, s], names=["id", "k", "n", "s"])
+
+    return texts.select("id", F.xxhash64("text").alias("k"), "text").mapInArrow(run, f"id {_kind(texts)}, k bigint, n bigint, s bigint")
+
+
+def _far_from_the_hub(open_bands: DataFrame, estimated: DataFrame, compared: DataFrame, label: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
+    """``a, b``: pairs of different components, one of them far from the hub of a bucket they share, the other not linked to it."""
+    distance = estimated.select(F.col("a").alias("centre"), F.col("b").alias("id"), (~F.col("near")).alias("far"))
+    linked = compared.filter(_linked(compared, threshold)).select(F.col("a").alias("centre"), F.col("b").alias("id"))
+    apart = open_bands.filter("id <> centre").join(distance, ["centre", "id"]).join(linked, ["centre", "id"], "left_anti")
+    apart = apart.join(label, "id", "left").select("key", "id", "far", F.coalesce("component", "id").alias("component"))
+    # buckets where such a pair can be
+    open_ = apart.groupBy("key").agg(F.bool_or("far").alias("far"), F.min("component").alias("low"), F.max("component").alias("high")).filter("far AND low <> high")
+    members = written(apart.join(open_.select("key"), "key").groupBy("id").agg(F.first("component").alias("component")), "apart")
+    if members.isEmpty():
+        return members.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    tokens = written(_shingles(texts.join(members.select("id"), "id", "left_semi"), width).join(members, "id"), "apart-shingles")
+    shared = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("s", "c")
+    # a text's shingles that others have too, rare ones first; those of one component stand before them in the order
+    own = tokens.join(shared, "s").groupBy("id", "k", "component", "n").agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("common"))
+    first = F.col("n") - F.ceil(threshold * F.col("n") / 100).cast("long") + 1 - (F.col("n") - F.size("common"))
+    prefix = own.filter(first > 0).select("id", "component", "n", F.explode(F.slice("common", F.lit(1), first.cast("int"))).alias("x")).select("id", "component", "n", F.col("x.s").alias("s"))
+    left = prefix.select(F.col("id").alias("a"), F.col("component").alias("p"), F.col("n").alias("n1"), "s")
+    right = prefix.select(F.col("id").alias("b"), F.col("component").alias("q"), F.col("n").alias("n2"), "s")
+    fits = (100 + threshold) * F.least("n1", "n2") >= threshold * (F.col("n1") + F.col("n2"))
+    return left.join(right, "s").filter((F.col("a") < F.col("b")) & (F.col("p") != F.col("q")) & fits).select("a", "b")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: int = 80) -> DataFrame:
@@ -214,26 +272,40 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bands = _bands(representatives)
     shared = bands.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members")).filter("low < high")
     members = written(bands.join(shared.select("key", "members"), "key"), "bands")
-    degrees = members.groupBy("id").agg(F.sum("members").alias("degree"))
+    degrees = written(members.groupBy("id").agg(F.sum("members").alias("degree")), "degrees")
     wanted = degrees.select("id")
-    texts = written(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi"), "texts")
+    texts = written(df.select(_id(df, id_col).alias("id"), F.col(f"`{text_col}`").alias("text")).join(wanted, "id", "left_semi"), "texts")
     regs = written(representatives.join(wanted, "id", "left_semi").select("id", "regs"), "registers")
 
     # the centre of a bucket is its member with the most company: the original among its near copies
-    centres = members.join(degrees, "id").groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("minus"))).alias("best"))
-    open_bands = written(members.join(centres, "key").select("key", "id", (-F.col("best.minus")).alias("centre")), "open-bands")
-    star = open_bands.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    estimated = written(_estimated(star, regs, threshold), "estimates")
+    best = F.min(F.struct((-F.col("degree")).alias("minus"), "id"))
+    centres = members.join(degrees, "id").groupBy("key").agg(best.alias("best"))
+    open_bands = written(members.join(centres, "key").select("key", "id", F.col("best.id").alias("centre")), "open-bands")
+    star = lambda buckets: buckets.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    estimated = written(_estimated(star(open_bands), regs, threshold), "estimates")
     compared = written(_compared(estimated.filter("near"), texts, width), "compared")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        return pairs.filter(100 * F.col("both") >= threshold * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
-
+    linked = lambda pairs: pairs.filter(_linked(pairs, threshold)).select("a", "b")
     label = written(components(linked(compared)), "labels")
-    rest = _estimated(written(_remaining(open_bands, estimated, compared, label, threshold), "remaining"), regs, threshold)
-    late = written(linked(_compared(rest.filter("near"), texts, width)), "late-links")
-    same_id = in_class.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    labels = components(linked(compared).unionByName(late).unionByName(same_id))
+
+    # now the hub of a centre's component takes its place
+    hubs = label.join(degrees, "id").groupBy("component").agg(best.alias("best"))
+    hub_of = label.join(hubs, "component").select(F.col("id").alias("centre"), F.col("best.id").alias("hub"))
+    around = written(open_bands.join(hub_of, "centre", "left").select("key", "id", F.coalesce("hub", "centre").alias("centre")), "hubs")
+    hub_star = written(star(around).join(estimated.withColumnRenamed("near", "known"), ["a", "b"], "left"), "hub-star")
+    more = written(_estimated(hub_star.filter("known IS NULL").select("a", "b"), regs, threshold), "hub-estimates")
+    more_compared = written(_compared(more.filter("near"), texts, width), "hub-compared")
+    label = merged(label, linked(more_compared))
+    near_hub = compared.join(hub_star.filter("known").select("a", "b"), ["a", "b"], "left_semi").unionByName(more_compared)
+    at_hub = hub_star.filter("known IS NOT NULL").select("a", "b", F.col("known").alias("near")).unionByName(more)
+    pairs = _near_the_hub(near_hub, label, threshold).unionByName(
+        _far_from_the_hub(around, at_hub, near_hub, label, texts, width, threshold)
+    )
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "remaining")
+    if not pairs.isEmpty():
+        rest = _estimated(pairs, regs, threshold)
+        label = merged(label, written(linked(_compared(rest.filter("near"), texts, width)), "late-links"))
+    # rows of one id that stand for several classes, and members of a class, follow its representative
+    labels = merged(label, in_class.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")))
     component = F.coalesce("component", "id")
     return sketched.join(labels, "id", "left").select(
         F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
@@ -242,5 +314,6 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """Rows of ``df`` whose document is the smallest of its component; columns as they are."""
-    dropped = near_duplicates(df, id_col, **options).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(dropped, F.col(f"`{id_col}`").cast("long") == F.col("_gone"), "left_anti")
+    (gone,) = fresh(df, "_gone")
+    dropped = near_duplicates(df, id_col, **options).filter("NOT kept").select(F.col("doc_id").alias(gone)).distinct()
+    return df.join(dropped, _id(df, id_col) == F.col(gone), "left_anti")

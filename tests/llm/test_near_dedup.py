@@ -110,3 +110,56 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(1, 50)] + [(900, 901), (901, 900), (7, 7)]
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in [*range(1, 50), 500]} == {1} and got[901] == 900
+
+
+def test_text_ids_and_clashing_columns(spark):
+    base = prose(5, 60)
+    df = spark.createDataFrame([("b", base, "x"), ("a", base + " end", "y"), ("c", prose(6, 60), "z"), (None, base, "n")], "doc_id string, text string, _gone string")
+    out = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df).collect()}
+    assert out == {"a": "a", "b": "a", "c": "c", None: None}
+    left = near_dedup.keep_one(df)
+    assert left.columns == df.columns and sorted(r["_gone"] for r in left.collect()) == ["n", "y", "z"]
+
+
+def test_members_far_from_each_other_are_not_paired(spark, docs, monkeypatch):
+    """Copies of a template with a fifth of their own words meet nobody, however many they are."""
+    r = random.Random(4)
+    template = prose(70, 120).split()
+    counts = []
+    written = near_dedup.written
+
+    def spy(df, label):
+        out = written(df, label)
+        if label == "remaining":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", spy)
+    for n in (150, 300):
+        rows = []
+        for i in range(n):
+            text = list(template)
+            for k in r.sample(range(120), 26):
+                text[k] = f"own{i}x{k}"
+            rows.append((i, " ".join(text)))
+        out = near_dedup.near_duplicates(docs(rows), width=2)
+        assert out.filter("kept").count() == n
+    assert counts[1] <= 4 * n
+
+
+def test_clusters_of_one_template_equal_all_pairs(spark, docs):
+    """Copies around the threshold of several originals that share a template."""
+    r = random.Random(11)
+    template, rows = prose(11, 80).split(), []
+    for g in range(5):
+        base = list(template)
+        for k in r.sample(range(80), r.choice([5, 15, 30])):
+            base[k] = f"g{g}w{k}"
+        for _ in range(25):
+            text = list(base)
+            for k in r.sample(range(80), r.choice([0, 1, 2, 3, 4, 5, 9])):
+                text[k] = r.choice([f"v{r.randrange(40)}", template[k]])
+            rows.append((len(rows), " ".join(text)))
+    for width in (2, 5):
+        got = {x["doc_id"]: x["component_id"] for x in near_dedup.near_duplicates(docs(rows), width=width).collect()}
+        assert got == plain_components(rows, width)
