@@ -36,6 +36,17 @@ def test_tiles_equal_the_plain_procedure():
         assert sorted(n for n, _, _ in got) == sorted(n for n, _, _ in want)
 
 
+def test_what_a_tile_leaves_takes_its_turn_by_length():
+    """1,500 pairs of shuffled pieces: the same tiles as the longest run, over and over."""
+    r = random.Random(11)
+    for _ in range(1500):
+        item = [r.randrange(12) for _ in range(r.randint(8, 24))]
+        pieces = [item[a : a + r.randint(4, 12)] for a in (r.randrange(len(item)) for _ in range(4))]
+        doc = [x for p in pieces for x in [*p, *[r.randrange(12)] * r.randint(0, 1)]]
+        got = decontaminate.tiles(np.array(doc, np.uint64), np.array(item, np.uint64), 4)
+        assert sorted(got) == sorted(plain_tiles(doc, item, 4))
+
+
 def test_passages_reordered_edited_and_absent(spark, docs):
     items = [(k, prose(k, 30)) for k in range(5)] + [(7, "too short"), (8, None), (9, "")]
     bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id bigint, text string, doc_id string")
@@ -48,15 +59,26 @@ def test_passages_reordered_edited_and_absent(spark, docs):
     ]
     df = docs(rows).withColumnRenamed("lang", "coverage")
     got = [(r["doc_id"], r["item_id"]) for r in decontaminate.matches(df, bench).collect()]
-    assert sorted(got, key=str) == sorted([(1, 0), (2, 0), (None, 1), (1, 2), (9, 3)], key=str)
+    assert sorted(got, key=str) == sorted([(1, 0), (2, 0), (None, 1), (1, 2), (9, 3), (10, 7)], key=str)
     in_blocks = decontaminate.matches(df, bench, block_words=1).collect()
     assert sorted(((r["doc_id"], r["item_id"]) for r in in_blocks), key=str) == sorted(got, key=str)
     left = decontaminate.drop_contaminated(df, bench)
-    assert left.columns == df.columns and sorted(r["doc_id"] or -1 for r in left.collect()) == [-1, 3, 4, 5, 6, 10]
-    by = {r["doc_id"]: r for r in decontaminate.by_document(df, bench).collect()}
-    assert by[1]["item_ids"] == [0, 2] and by[3]["contaminated"] is False and by[3]["coverage"] == 0.0
+    assert left.columns == df.columns and sorted(r["doc_id"] or -1 for r in left.collect()) == [3, 4, 5, 6]
+    by = [(r["doc_id"], r["contaminated"], r["item_ids"]) for r in decontaminate.by_document(df, bench).collect()]
+    want = [(1, True, [0]), (1, True, [2]), (2, True, [0]), (3, False, None), (4, False, None), (5, False, None), (6, False, None), (9, True, [3]), (10, True, [7]), (None, True, [1])]
+    assert sorted(by, key=str) == sorted(want, key=str)
 
 
+def test_rows_without_id_or_with_one_id_are_judged_alone(spark, docs):
+    leak = prose(3, 25)
+    bench = spark.createDataFrame([("i1", leak), ("i2", "one two three")], "item_id string, text string")
+    df = docs([(None, leak), (None, prose(4, 40)), (None, None), (7, prose(5, 30)), (7, "so one two  three it was"), (7, "one two four three")]).withColumnRenamed("lang", "_bad").withColumnRenamed("source", "_content")
+    left = decontaminate.drop_contaminated(df, bench)
+    assert left.columns == df.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in left.collect() if r["text"]) == sorted([("None", prose(4, 40)), ("7", prose(5, 30)), ("7", "one two four three")])
+    named = df.withColumn("doc_id", df["doc_id"].cast("string"))
+    assert sorted(r["item_id"] for r in decontaminate.matches(named, bench).collect()) == ["i1", "i2"]
+
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     some = spark.createDataFrame([(1, prose(1, 20))], "item_id bigint, text string")
