@@ -30,12 +30,13 @@ START, SEPARATOR, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 ESCAPE = "␛"
 
 _BARE = "|".join(re.escape(c) for c in CONTROL)
-_INNER = "([<\\[])(?=" + "|".join(re.escape(c[1:]) for c in CONTROL) + ")"
+# the first character of every whole control string
+_INNER = "|".join(f"({re.escape(first)})(?={'|'.join(re.escape(c[1:]) for c in CONTROL if c[0] == first)})" for first in "<[")
 
 
 def escape(value: Column) -> Column:
     doubled = F.regexp_replace(value, ESCAPE, ESCAPE * 2)
-    return F.regexp_replace(doubled, _INNER, f"$1{ESCAPE}")
+    return F.regexp_replace(doubled, _INNER, f"$1$2{ESCAPE}")
 
 
 def unescape(value: Column) -> Column:
