@@ -83,17 +83,23 @@ class Tree:
             pending += [(child, rows[to == k]) for k, child in enumerate(children)]
         return out
 
-    def visit(self, points: np.ndarray, most: int) -> list[list[int]]:
-        """For each point the first ``most`` leaves, best bin first."""
+    def visit(self, points: np.ndarray, most: int, held: np.ndarray | None = None, least: int = 0) -> list[list[int]]:
+        """For each point the first ``most`` leaves, best bin first.
+
+        With ``held``, the stored vectors of each leaf, the walk goes on until its leaves
+        hold ``least`` of them, or no leaf is left.
+        """
         distance = self.norms - 2 * points @ self.centres.T
         out = []
         for d in distance:
             found: list[int] = []
+            short = least if held is not None else 0
             queue = [(d[0], 0)]
-            while queue and len(found) < most:
+            while queue and (len(found) < most or short > 0):
                 _, node = heapq.heappop(queue)
                 if node in self.leaf:
                     found.append(self.leaf[node])
+                    short -= held[self.leaf[node]] if held is not None else 0
                 for child in self.children[node]:
                     heapq.heappush(queue, (d[child], child))
             out.append(found)
@@ -173,7 +179,11 @@ def search(
     df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, max_fit: int = MAX_FIT,
     calibration: int = CALIBRATION, recall: float = RECALL, block_rows: int = BLOCK_ROWS, leaf_sample: int = LEAF_SAMPLE,
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest found for each row where ``is_query`` (on ``vec_id``)."""
+    """``query_id, rank, vec_id, score``: the ``k`` nearest found for each row where ``is_query`` (on ``vec_id``).
+
+    A walk ends no sooner than its leaves hold ``k`` vectors and the query's own, so every
+    query gets ``k`` rows, or all candidates where there are fewer.
+    """
     spark = df.sparkSession
     ensure_importable(spark)
     vectors = written(usable(df, id_col, vec_col), "vectors")
@@ -203,12 +213,13 @@ def search(
 
     sizes = dict(index.groupBy("leaf").count().toLocalIterator())
     first, parts = _pack(tree.leaves, sizes, block_rows)
+    held = np.array([sizes.get(leaf, 0) for leaf in range(tree.leaves)])
     query_parts = partitions_for(facts["queries"], QUERY_ROWS)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for at, leaves in enumerate(shared.value.visit(_query_side(_matrix(batch.column("vec"), dim)), visits)):
+            for at, leaves in enumerate(shared.value.visit(_query_side(_matrix(batch.column("vec"), dim)), visits, held, k + 1)):
                 blocks: dict[int, list[int]] = {}
                 for leaf in leaves:
                     for part in range(parts[leaf]):

@@ -54,6 +54,18 @@ def test_empty_table_and_single_vector(spark):
     assert ann.search(frame(spark, [(0, [1.0])]), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_walk_goes_on_until_k_candidates_are_held(spark):
+    r = np.random.default_rng(6)
+    centres = 10 * r.normal(size=(40, 8))
+    rows = [(i, (centres[i % 40] + 0.1 * r.normal(size=8)).astype(np.float32).tolist()) for i in range(400)]
+    # so little recall asks for one leaf, which holds fewer than k vectors
+    out = ann.search(frame(spark, rows), F.col("vec_id") % 20 == 0, k=30, leaf_sample=12, recall=0.01)
+    counts = {x["query_id"]: (x["n"], x["last"]) for x in out.groupBy("query_id").agg(F.count("*").alias("n"), F.max("rank").alias("last")).collect()}
+    assert counts == {q: (30, 30) for q in range(0, 400, 20)}
+    few = ann.search(frame(spark, rows[:25]), F.col("vec_id") % 20 == 0, k=30, leaf_sample=4, recall=0.01)
+    assert {x["query_id"]: x["count"] for x in few.groupBy("query_id").count().collect()} == {0: 24, 20: 24}
+
+
 def test_leaves_come_out_best_bin_first():
     r = np.random.default_rng(4)
     points = r.normal(size=(600, 5))
