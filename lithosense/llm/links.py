@@ -15,13 +15,8 @@ def components(links: DataFrame) -> DataFrame:
     of rounds grows with the logarithm of the ids.  Each round is a written table.
     """
     edges = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "links")
-    state = None
-    while True:
+    while not _stars(edges):
         edges = written(_smaller_step(_larger_step(edges)), "links")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == state:
-            break
-        state = now
     roots = edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
     return edges.select(F.col("b").alias("id"), F.col("a").alias("component")).unionByName(roots)
 
@@ -43,6 +38,13 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(moved.select("id", F.coalesce("to", "component").alias("component")).unionByName(new.select("id", "component")), "labels")
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every id is either a smallest one or linked with one of those only."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(0).alias("up")), F.struct(F.col("b").alias("id"), F.lit(1).alias("up")))).alias("end"))
+    each = ends.groupBy("end.id").agg(F.sum("end.up").alias("up"), F.min("end.up").alias("least"))
+    return each.filter("up > 1 OR (up = 1 AND least = 0)").isEmpty()
+
+
 def _larger_step(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))

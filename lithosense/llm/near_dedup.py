@@ -191,28 +191,44 @@ def _near_the_hub(compared: DataFrame, label: DataFrame, threshold: int) -> Data
     """``a, b``: pairs near one hub that may be linked, of different components.
 
     Let both members share ``i`` and ``j`` shingles with hub C, and ``t`` with each other that C has not.  They share at
-    most ``min(i, j) + t``.  So they either share some shingle outside of C (an equi-join on it,
-    counted), or are linked by ``min(i, j)`` alone, which limits the partner's size to a few
-    values (an equi-join on those).  One of the two is itself not linked to C.
+    most ``min(i, j) + t``.  So they either share some shingle outside of C, or are linked by
+    ``min(i, j)`` alone, which limits the partner's size to a few values (an equi-join on
+    those).  One of the two is itself not linked to C.
+
+    A link of a text of ``n`` shingles holds at least ``threshold * n`` of them, so ``t`` is at least
+    that less ``i``.  A prefix filter uses it: of its shingles outside of C that other components have
+    too, rare ones first, a text meets others only by as many as it can do without, and one
+    more.  Pairs that meet are counted whole.
     """
     t, all_ = threshold, 100 + threshold
     centred = compared.select(F.col("a").alias("c"), F.col("b").alias("id"), F.col("nb").alias("n"), F.col("both").alias("i"), F.col("na").alias("nc"), "outside")
     centred = centred.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    x = centred.filter(all_ * F.col("i") < t * (F.col("n") + F.col("nc"))).select("c", F.col("id").alias("a"), F.col("n").alias("n1"), F.col("i").alias("i1"), F.col("component").alias("p"), "outside")
-    y = centred.select("c", F.col("id").alias("b"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("component").alias("q"), "outside")
+    centred = written(centred.withColumn("open", all_ * F.col("i") < t * (F.col("n") + F.col("nc"))), "centred")
+    x = centred.filter("open").select("c", F.col("id").alias("a"), F.col("n").alias("n1"), F.col("i").alias("i1"), F.col("component").alias("p"))
+    y = centred.select("c", F.col("id").alias("b"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("component").alias("q"))
     different = (F.col("p") != F.col("q")) & (all_ * F.least("n1", "n2") >= t * (F.col("n1") + F.col("n2")))
+
+    tokens = centred.select("c", "id", "component", "n", "i", "open", F.explode("outside").alias("s"))
+    met = tokens.groupBy("c", "s").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("open").alias("wanted"))
+    met = met.filter("wanted AND low <> high").select("c", "s", "m")
+    rare_first = F.sort_array(F.collect_list(F.struct("m", "s")))
+    own = tokens.join(met, ["c", "s"]).groupBy("c", "id", "component", "n", "i", "open").agg(rare_first.alias("common"))
+    least = F.greatest(F.lit(1), F.ceil(t * F.col("n") / 100).cast("int") - F.col("i").cast("int"))
+    own = written(own.withColumn("first", F.size("common") - least + 1).filter("first > 0"), "outside")
+    prefix = own.withColumn("s", F.explode(F.slice("common", F.lit(1), F.col("first"))["s"])).drop("common", "first")
+    left = prefix.filter("open").select("c", F.col("id").alias("a"), F.col("n").alias("n1"), F.col("i").alias("i1"), F.col("component").alias("p"), "s")
+    right = prefix.select("c", F.col("id").alias("b"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("component").alias("q"), "s")
+    meet = left.join(right, ["c", "s"]).filter(different).select("c", "a", "n1", "i1", "b", "n2", "i2").distinct()
+    of = lambda name, n, i, held: own.select("c", F.col("id").alias(name), F.col("n").alias(n), F.col("i").alias(i), F.col("common.s").alias(held))
     shared = (
-        x.withColumn("s", F.explode("outside")).drop("outside")
-        .join(y.withColumn("s", F.explode("outside")).drop("outside"), ["c", "s"])
-        .filter(different)
-        .groupBy("c", "a", "b", "n1", "n2", "i1", "i2")
-        .agg(F.count(F.lit(1)).alias("t"))
-        .filter(all_ * (F.least("i1", "i2") + F.col("t")) >= t * (F.col("n1") + F.col("n2")))
+        meet.join(of("a", "n1", "i1", "sa"), ["c", "a", "n1", "i1"])
+        .join(of("b", "n2", "i2", "sb"), ["c", "b", "n2", "i2"])
+        .filter(all_ * (F.least("i1", "i2") + F.size(F.array_intersect("sa", "sb"))) >= t * (F.col("n1") + F.col("n2")))
     )
     low, high = F.ceil(t * F.col("n1") / 100), F.floor(all_ * F.col("i1") / t) - F.col("n1")
     sized = (
-        x.drop("outside").filter(low <= high).withColumn("n2", F.explode(F.sequence(low, high)))
-        .join(y.drop("outside"), ["c", "n2"])
+        x.filter(low <= high).withColumn("n2", F.explode(F.sequence(low, high)))
+        .join(y, ["c", "n2"])
         .filter(different & (all_ * F.least("i1", "i2") >= t * (F.col("n1") + F.col("n2"))))
     )
     return shared.select("a", "b").unionByName(sized.select("a", "b"))
