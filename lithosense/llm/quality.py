@@ -9,9 +9,8 @@ and each document is scored where it lies: runs of the 62 most frequent characte
 dense table made from the model, all others by search in the sorted runs with back-off.
 
 A document is kept unless its perplexity exceeds a quantile of the trusted documents of
-its language.  Trusted documents are halved by hash: the model is fitted on one half (at
-most ``max_fit_docs`` of it, a documented bound), the quantiles are taken over the whole
-other half, which the model has not seen.  The scores cover all documents.
+its language.  Trusted documents are halved by hash: the model is fitted on the whole of one
+half, the quantiles are taken over the whole other half, which the model has not seen.  The scores cover all documents.
 
 Trusted are the documents labelled 1 and never otherwise.  A null language is a language
 of its own; one without trusted documents takes the quantile over all.  Null and empty
@@ -34,7 +33,6 @@ from lithosense.operators.quantiles import group_quantiles
 ORDER, SYMBOLS = 4, 64  # symbols of the dense table; the model may have more
 BITS = 21  # of a symbol in a context of up to three, as many as a code point takes
 OTHER, BORDER = 0, 1
-MAX_FIT_DOCS = 20_000
 KEEP_QUANTILE = 0.99
 _BORDERS = "\x02" * (ORDER - 1)
 
@@ -253,7 +251,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", carry: tuple[str,
 
 def classify(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    label_col: str = "quality", max_fit_docs: int = MAX_FIT_DOCS, keep_quantile: float = KEEP_QUANTILE,
+    label_col: str = "quality", keep_quantile: float = KEEP_QUANTILE,
 ) -> DataFrame:
     """Per row: ``doc_id, lang, log10_perplexity, threshold, kept``."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
@@ -261,9 +259,7 @@ def classify(
     trusted = written(trusted, "trusted")
     # one half is learnt from, the other shows what unseen good text looks like
     to_fit = F.pmod(F.xxhash64("_trusted"), F.lit(2)) == 0
-    sample = trusted.filter(to_fit).orderBy(F.xxhash64("_trusted"), "_trusted").limit(max_fit_docs)
-    # at most max_fit_docs ids, whatever the data
-    chosen = written(docs.join(F.broadcast(sample), F.col("doc_id") == F.col("_trusted"), "left_semi").select("text"), "trusted-texts")
+    chosen = written(docs.join(trusted.filter(to_fit), F.col("doc_id") == F.col("_trusted"), "left_semi").select("text"), "trusted-texts")
     model = fit(chosen)
     if model is None:
         return docs.select("doc_id", "lang", F.lit(None).cast("double").alias("log10_perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"))

@@ -141,3 +141,14 @@ def test_a_rare_script_is_told_from_junk(spark, docs):
     kept = {r["doc_id"]: r["kept"] for r in quality.classify(df, labels).collect()}
     assert sum(kept[1000 + i] for i in range(60)) >= 54
     assert not any(kept[1060 + i] for i in range(20))
+
+
+def test_fits_all_trusted_texts_of_a_half(spark, docs, monkeypatch):
+    from pyspark.sql import functions as F
+
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda chosen: seen.append(chosen.count()))
+    ids = spark.range(50_000)
+    rows = ids.select(F.col("id").alias("doc_id"), F.lit("ab").alias("text"), F.lit("en").alias("lang"))
+    quality.classify(rows, ids.select(F.col("id").alias("doc_id"), F.lit(1).alias("quality")))
+    assert seen == [ids.filter(F.pmod(F.xxhash64("id"), F.lit(2)) == 0).count()] and seen[0] > 20_000
