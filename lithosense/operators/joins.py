@@ -10,6 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lithosense.session import materialise
+
 
 def _suffix(left: DataFrame, right: DataFrame, keys: list[str], suffixes: tuple[str, str]):
     """Rename columns both sides have (other than keys)."""
@@ -101,7 +103,11 @@ def join_on_day(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str)
 
 
 def group_mean_fallback(rows: DataFrame, reference: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Fill NULLs with the mean of the same key in ``reference``."""
-    means = reference.groupBy(key).agg(*[F.avg(c).alias(f"__{c}") for c in columns])
+    """Fill NULLs with the mean of the same key in ``reference``.
+
+    The means are written, so the join knows their size: few keys are broadcast, and a key
+    with half of all rows does not bring them to one task.
+    """
+    means = materialise(reference.groupBy(key).agg(*[F.avg(c).alias(f"__{c}") for c in columns]), "group-means")
     filled: dict[str, Column] = {c: F.coalesce(F.col(c).cast("double"), F.col(f"__{c}")) for c in columns}
     return rows.join(means, key, "left").withColumns(filled).select(*rows.columns)
