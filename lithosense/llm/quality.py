@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lithosense.llm.common import ensure_importable, fresh, texts, written
+from lithosense.llm.common import ensure_importable, fresh, kept, texts, written
 from lithosense.operators.quantiles import group_quantiles
 
 ORDER, SYMBOLS = 4, 64  # symbols of the dense table; the model may have more
@@ -54,17 +54,17 @@ class Model:
 
     def dense(self) -> np.ndarray:
         """Log10 probability of every run of the first 64 symbols: seen ones as given, others from the lower order."""
-        lower = np.full(1, 1.0 / self.symbols)
+        lower = np.full(SYMBOLS, 1.0 / self.symbols, np.float32)
         for n, ((before, last, p), (contexts, weight)) in enumerate(zip(self.runs, self.weights), 1):
             table = np.ones(SYMBOLS ** (n - 1), np.float32)
             at, few = _small(contexts, n - 1)
             table[at[few]] = weight[few]
-            suffix = np.tile(lower.reshape(-1, SYMBOLS), (SYMBOLS, 1)) if n > 1 and lower.size > SYMBOLS else np.tile(lower, (len(table), SYMBOLS // len(lower)))
-            lower = (table[:, None] * suffix.astype(np.float32)).ravel()
+            # a run's lower order is the run without its first symbol
+            lower = (table.reshape(min(len(table), SYMBOLS), -1, 1) * lower.reshape(1, -1, SYMBOLS)).reshape(-1)
             at, few = _small(before, n - 1)
             few &= last < SYMBOLS
             lower[at[few] * SYMBOLS + last[few]] = p[few]
-        return np.log10(lower, dtype=np.float32)
+        return np.log10(lower, out=lower)
 
 
 def _small(contexts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -213,16 +213,9 @@ def fit(trusted: DataFrame, text_col: str = "text") -> Model | None:
     return model
 
 
-_ready: dict[bytes, tuple[np.ndarray, np.ndarray, _Search]] = {}
-
-
 def _tables(model: Model) -> tuple[np.ndarray, np.ndarray, _Search]:
     """The character codes, dense table and sorted runs of a model, made once in a worker process."""
-    key = hashlib.sha256(model.key()).digest()
-    if key not in _ready:
-        _ready.clear()
-        _ready[key] = (_coder(model.alphabet), model.dense(), _Search(model))
-    return _ready[key]
+    return kept(hashlib.sha256(model.key()).digest(), lambda: (_coder(model.alphabet), model.dense(), _Search(model)))
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", carry: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
@@ -249,6 +242,15 @@ def score(df: DataFrame, model: Model, text_col: str = "text", carry: tuple[str,
     return df.select(*names, F.col(text_col).alias("text")).mapInArrow(run, ddl)
 
 
+def _rows_of(rows: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Rows whose document is trusted.
+
+    The ids grow with the table, so they are dealt by hash with the rows at every size: rows go
+    through one shuffle, once, and are not sorted.
+    """
+    return rows.join(trusted.hint("shuffle_hash"), F.col("doc_id") == F.col("_trusted"), "left_semi")
+
+
 def classify(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     label_col: str = "quality", keep_quantile: float = KEEP_QUANTILE,
@@ -259,12 +261,12 @@ def classify(
     trusted = written(trusted, "trusted")
     # one half is learnt from, the other shows what unseen good text looks like
     to_fit = F.pmod(F.xxhash64("_trusted"), F.lit(2)) == 0
-    chosen = written(docs.join(trusted.filter(to_fit), F.col("doc_id") == F.col("_trusted"), "left_semi").select("text"), "trusted-texts")
+    chosen = written(_rows_of(docs, trusted.filter(to_fit)).select("text"), "trusted-texts")
     model = fit(chosen)
     if model is None:
         return docs.select("doc_id", "lang", F.lit(None).cast("double").alias("log10_perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"))
     scored = written(score(docs, model).drop("n_symbols"), "perplexities")
-    measured = scored.join(trusted.filter(~to_fit), F.col("doc_id") == F.col("_trusted"), "left_semi").filter("log10_perplexity IS NOT NULL")
+    measured = _rows_of(scored, trusted.filter(~to_fit)).filter("log10_perplexity IS NOT NULL")
     measured = written(measured.select("lang", "log10_perplexity"), "measured")
     limits = lambda df, by: group_quantiles(df, by, "log10_perplexity", [keep_quantile], ["q"])
     by_lang = limits(measured, ["lang"]).select(F.col("lang").alias("_lang"), F.col("q").alias("own"))

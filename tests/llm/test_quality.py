@@ -152,3 +152,38 @@ def test_fits_all_trusted_texts_of_a_half(spark, docs, monkeypatch):
     rows = ids.select(F.col("id").alias("doc_id"), F.lit("ab").alias("text"), F.lit("en").alias("lang"))
     quality.classify(rows, ids.select(F.col("id").alias("doc_id"), F.lit(1).alias("quality")))
     assert seen == [ids.filter(F.pmod(F.xxhash64("id"), F.lit(2)) == 0).count()] and seen[0] > 20_000
+
+
+def test_trusted_rows_meet_their_ids_the_same_way_at_every_size(spark, docs, capsys):
+    """Neither a copy of all ids on every executor nor a sort of the texts, be the ids few or many."""
+    ids = spark.createDataFrame([(1,), (3,)], "_trusted bigint")
+    rows = quality._rows_of(docs([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, None)]), ids)
+    rows.explain()
+    plan = capsys.readouterr().out
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan and "Sort " not in plan
+    assert sorted((r["doc_id"], r["text"] or "") for r in rows.collect()) == [(1, "a"), (1, "b"), (3, "")]
+
+
+def test_tables_leave_a_worker_with_the_next_operator():
+    from lithosense.llm import common
+
+    made = []
+    for key in ("a", "a", "b"):
+        common.kept(key, lambda: made.append(key) or key)
+    assert made == ["a", "b"] and list(common._kept) == ["b"]
+    common.release()
+    assert not common._kept
+
+
+def test_dense_table_is_made_in_little_more_than_its_own_room():
+    import tracemalloc
+
+    import numpy as np
+
+    empty = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32))
+    model = quality.Model(["a"], [empty] * 4, [(np.zeros(0, np.int64), np.zeros(0, np.float32))] * 4)
+    tracemalloc.start()
+    table = model.dense()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(table) == quality.SYMBOLS**4 and np.allclose(table, np.log10(1 / 64)) and peak < 1.2 * table.nbytes
