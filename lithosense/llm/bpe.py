@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from lithosense.llm.common import ensure_importable, texts
+from lithosense.llm.common import ensure_importable, release, texts
 
 MAX_VOCABULARY_BYTES = 64 << 20
 CACHED_PIECES = 400_000
@@ -239,6 +239,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         codec = _codec(shared.value, pattern)
         for batch in batches:
             for start, rows in texts(batch, text_col):

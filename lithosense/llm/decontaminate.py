@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
-from lithosense.llm.common import ensure_importable, fresh
+from lithosense.llm.common import ensure_importable, fresh, release, written
 from lithosense.llm.words import chunks, windows, words
 
 LEAST, COVERAGE = 4, 0.6
@@ -198,6 +198,7 @@ def _tiler(shared, least: int, coverage: float, kinds: list[DataType]):
     names = ["doc_id", "content", "item_id", "coverage", "n_tiles", "longest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         block: _Block = shared.value
         for batch in batches:
             out: list[tuple] = []
@@ -244,5 +245,6 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, **options) -> DataFra
     """Rows of ``df`` that hold no benchmark item; columns as they are."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     bad_id, bad_content = fresh(df, "_bad", "_content")
-    bad = _matches(df, benchmark, **options).select(F.col("doc_id").alias(bad_id), F.col("content").alias(bad_content)).distinct()
+    # written, so that Spark knows how few they are before it chooses to shuffle the texts
+    bad = written(_matches(df, benchmark, **options).select(F.col("doc_id").alias(bad_id), F.col("content").alias(bad_content)).distinct(), "contaminated")
     return df.join(bad, _id(df, id_col).eqNullSafe(F.col(bad_id)) & (F.xxhash64(f"`{text_col}`") == F.col(bad_content)), "left_anti")

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lithosense.llm.common import ensure_importable, fresh, written
+from lithosense.llm.common import ensure_importable, fresh, release, written
 from lithosense.llm.words import mix
 
 MIN_FUZZY_CHARS = 20
@@ -157,6 +157,7 @@ _SENT_DDL = "v bigint, low int, high int, place bigint"
 
 def _neighbourhood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Variants of each line for each half it shares, and the line itself (``low`` -1)."""
+    release()
     for batch in batches:
         parts: list[tuple] = []
         size = 0

@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lithosense.llm.common import ensure_importable, fresh, written
+from lithosense.llm.common import ensure_importable, fresh, release, written
 from lithosense.llm.links import components, merged
 from lithosense.llm.words import chunks, mix, shingle_sets
 
@@ -98,6 +98,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
     ensure_importable(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for row, part in chunks(batch.column("text")):
                 sets = shingle_sets(part, width)

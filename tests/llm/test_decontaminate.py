@@ -84,3 +84,14 @@ def test_empty_tables(spark, docs):
     some = spark.createDataFrame([(1, prose(1, 20))], "item_id bigint, text string")
     assert decontaminate.by_document(docs([(1, "a b c d e")]), none).collect()[0]["contaminated"] is False
     assert decontaminate.by_document(docs([]), some).count() == 0
+
+
+def test_few_contaminated_documents_need_no_shuffle_of_the_texts(spark, docs, capsys):
+    item = " ".join(f"word{k}" for k in range(12))
+    rows = docs([(1, f"some text {item} more"), (2, "clean"), (2, item), (None, "clean too"), (3, None)])
+    kept = decontaminate.drop_contaminated(rows, spark.createDataFrame([(7, item)], "item_id bigint, text string"))
+    kept.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.filter("text IS NOT NULL").collect()) == [(0, "clean too"), (2, "clean")]
+    assert kept.count() == 3
