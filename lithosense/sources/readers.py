@@ -40,6 +40,19 @@ def scan_channels(spark: SparkSession, samples: str, meta: str, fmt: str = "parq
     return data, facts
 
 
+def file_heads(spark: SparkSession, path: str) -> DataFrame:
+    """(file, head): the first line of every text file.
+
+    Lines stream by twice, first for the least place in each file, then for the line there; no task
+    holds or sorts them.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("row")
+    )
+    first = lines.where("block = 0").groupBy("file").agg(F.min("row").alias("row"))
+    return lines.where("block = 0").join(F.broadcast(first), ["file", "row"]).select("file", F.col("value").alias("head"))
+
+
 def scan_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV files as text columns, matched by name: a file may lack columns or have them in another order.
 
@@ -47,9 +60,7 @@ def scan_csv(spark: SparkSession, path: str) -> DataFrame:
     file's header line; files with one header are read together, and the groups are united
     by name.  Rows keep their file and place (``_file, _block, _row``).
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
-    heads = lines.where("block = 0").withColumn("row", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "row").alias("head"))
-    layouts = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()
+    layouts = file_heads(spark, path).groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()
     parts = [with_position(spark.read.option("header", True).csv(row["files"])) for row in layouts]
     if not parts:
         return with_position(spark.read.option("header", True).csv(path))

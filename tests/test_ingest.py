@@ -109,3 +109,15 @@ def test_station_folder_first_file_wins(spark, tmp_path):
     (tmp_path / "b.csv").write_text(head + "2024-01-01 00:00:00 EST,7,q\n2024-01-01 00:10:00 EST,n/a,q\n")
     rows = {r["timestamp"]: r["temperature"] for r in readers.scan_weather_dir(spark, str(tmp_path)).collect()}
     assert rows == {T("2024-01-01 00:00:00"): 1.5, T("2024-01-01 00:10:00"): None}
+
+
+def test_heads_of_files_are_found_without_sorting_lines(spark, tmp_path, capsys):
+    from lithosense.sources.readers import file_heads
+
+    for name, lines in (("a", ["x,y", "1,2", "0,0"]), ("b", ["y,x", "3,4"]), ("c", ["x,y"]), ("d", [])):
+        (tmp_path / f"{name}.csv").write_text("".join(f"{line}\n" for line in lines))
+    heads = file_heads(spark, str(tmp_path))
+    heads.explain()
+    plan = capsys.readouterr().out
+    assert "SortAggregate" not in plan and "Sort " not in plan
+    assert sorted((r["file"][-5:], r["head"]) for r in heads.collect()) == [("a.csv", "x,y"), ("b.csv", "y,x"), ("c.csv", "x,y")]
