@@ -134,3 +134,30 @@ def test_ensemble_is_no_worse_than_its_parts_on_validation(spark, sf):
     r2 = {r["model"]: r["r2"] for r in report.where("split = 'val'").collect()}
     assert r2["ensemble"] >= max(r2["rf"], r2["additive"]) - 1e-12
     assert 0.0 <= model.weight <= 1.0
+
+
+def test_folds_read_rows_that_are_dealt_once(spark, monkeypatch):
+    """Every fit and scoring reads the kept rows; they are given back at the end."""
+    from pyspark import StorageLevel
+    from pyspark.sql import functions as F
+
+    from lithosense.models import prepare, search
+
+    monkeypatch.setattr(prepare.spread, "__defaults__", (40,))
+    df = spark.range(200).select("id", (F.col("id") % 7).cast("double").alias("y"))
+    levels = []
+
+    class Mean:
+        def transform(self, held):
+            return held.withColumn("prediction", F.lit(3.0))
+
+    def fit(train, seed):
+        plan = train._jdf.queryExecution().withCachedData().toString()
+        levels.append("InMemoryRelation" in plan)
+        return Mean()
+
+    with prepare.dealt(df) as rows:
+        assert rows.rdd.getNumPartitions() == 5 and rows.storageLevel == StorageLevel.DISK_ONLY
+    assert rows.storageLevel == StorageLevel.NONE
+    scores = search.cv_shuffle(df, fit, "y", ["id"], splits=2, repeats=2)
+    assert levels == [True] * 4 and scores.count() == 4
