@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +29,8 @@ from lithosense.llm.common import ensure_importable, release, texts
 
 MAX_VOCABULARY_BYTES = 64 << 20
 CACHED_PIECES = 400_000
+CACHED_PREFIXES = 400_000
+SHORT_BYTES = 64  # pieces up to this length are kept, and so are the entries of their prefixes
 _SAFE_RANGES = ((0x0, 0x250), (0x2010, 0x2028), (0x20A0, 0x20AD))
 
 
@@ -44,6 +47,7 @@ class Vocabulary:
         self._right: dict[int, list[tuple[bytes, int]]] = {}
         self._left: dict[int, list[tuple[bytes, int]]] = {}
         self._beside: dict[tuple[int, int], bool] = {}
+        self._last: dict[bytes, int] = {}
 
     @classmethod
     def parse(cls, raw: bytes) -> Vocabulary:
@@ -89,17 +93,55 @@ class Vocabulary:
             starts = self._left.get(right)
             if starts is None:
                 starts = self._left[right] = self._edge(right, 0)
-            known = True
-            for a, before_a in ends:
-                for b, before_b in starts:
-                    merged = self.ranks.get(a + b)
-                    if merged is not None and merged < before_a and merged <= before_b:
-                        known = False
+            known = self._apart(ends, starts)
             if len(self._beside) > 2_000_000:
                 self._beside.clear()
             self._beside[left, right] = known
         return known
 
+    def _apart(self, ends: list[tuple[bytes, int]], starts: list[tuple[bytes, int]]) -> bool:
+        """Whether no merge of an edge on the left with one on the right comes before both are consumed."""
+        rank_of = self.ranks.get
+        for a, before_a in ends:
+            for b, before_b in starts:
+                merged = rank_of(a + b)
+                if merged is not None and merged < before_a and merged <= before_b:
+                    return False
+        return True
+
+    def last(self, data: bytes) -> int:
+        """The last token of a short string: the prefix table's last entry, from only those entries it takes.
+
+        Words begin alike, so entries are kept by their prefix and serve the next string too.
+        """
+        known = self._last.get(data)
+        if known is None:
+            known = self._find_last(data)
+            if len(self._last) >= CACHED_PREFIXES:
+                self._last.clear()
+            self._last[data] = known
+        return known
+
+    def _find_last(self, data: bytes) -> int:
+        rank_of = self.ranks.get
+        token = rank_of(data)
+        if token is not None and self.reachable(token):
+            return token
+        for start in range(max(1, len(data) - self.longest), len(data)):
+            token = rank_of(data[start:])
+            if token is not None and self.reachable(token) and self.beside(self.last(data[:start]), token):
+                return token
+        raise ValueError("a byte is missing from the vocabulary")
+
+    def short_ids(self, data: bytes) -> list[int]:
+        """The ids of a string that is short enough for a call per byte."""
+        out = []
+        while data:
+            token = self.last(data)
+            out.append(token)
+            data = data[: -len(self.tokens[token])]
+        return out[::-1]
+
 
 class PrefixTable:
     """A byte string with the last token of each of its prefixes."""
@@ -162,9 +204,14 @@ class _Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.vocabulary.ranks.get(data)
-        ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).ids()
-        packed = np.array(ids, "<u4").tobytes()
-        if len(data) <= 64:
+        if whole is not None:
+            ids = [whole]
+        elif len(data) <= SHORT_BYTES:
+            ids = self.vocabulary.short_ids(data)
+        else:
+            ids = PrefixTable(self.vocabulary, data).ids()
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(data) <= SHORT_BYTES:
             if len(self) >= CACHED_PIECES:
                 self.clear()
             self[piece] = packed

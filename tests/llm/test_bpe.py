@@ -75,3 +75,19 @@ def test_table_round_trip_with_odd_rows(spark, docs, library):
 
 def test_empty_table(docs):
     assert bpe.encode(docs([]), PATH, PATTERN, digests=True).count() == 0
+
+
+def test_short_pieces_share_the_entries_of_their_prefixes(codec, library, monkeypatch):
+    """A word of which all but the end was met before costs the new prefixes only, and equals the table and the library."""
+    v = bpe.Vocabulary(codec.vocabulary.ranks)
+    found, r = [], random.Random(3)
+    find = v._find_last
+    monkeypatch.setattr(v, "_find_last", lambda data: found.append(data) or find(data))
+    for _ in range(500):
+        data = "".join(r.choice("abcdeéhtn ing🙂") for _ in range(r.randint(1, 15))).encode()
+        ids = v.short_ids(data)
+        assert ids == bpe.PrefixTable(v, data).ids() == library._encode_single_piece(data)
+    assert len(found) == len(set(found))
+    before = len(found)
+    v.short_ids(data)
+    assert len(found) == before
