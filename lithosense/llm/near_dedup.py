@@ -36,6 +36,7 @@ with nothing.  Ids may be of any type that has an order; whole numbers come back
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -199,7 +200,8 @@ def _near_the_hub(compared: DataFrame, label: DataFrame, threshold: int) -> Data
     A link of a text of ``n`` shingles holds at least ``threshold * n`` of them, so ``t`` is at least
     that less ``i``.  A prefix filter uses it: of its shingles outside of C that other components have
     too, rare ones first, a text meets others only by as many as it can do without, and one
-    more.  Pairs that meet are counted whole.
+    more.  They meet by the first shingle they share if by any, and then share at most what either has
+    from there on.  Pairs for which that is enough are counted whole.
     """
     t, all_ = threshold, 100 + threshold
     centred = compared.select(F.col("a").alias("c"), F.col("b").alias("id"), F.col("nb").alias("n"), F.col("both").alias("i"), F.col("na").alias("nc"), "outside")
@@ -216,10 +218,11 @@ def _near_the_hub(compared: DataFrame, label: DataFrame, threshold: int) -> Data
     own = tokens.join(met, ["c", "s"]).groupBy("c", "id", "component", "n", "i", "open").agg(rare_first.alias("common"))
     least = F.greatest(F.lit(1), F.ceil(t * F.col("n") / 100).cast("int") - F.col("i").cast("int"))
     own = written(own.withColumn("first", F.size("common") - least + 1).filter("first > 0"), "outside")
-    prefix = own.withColumn("s", F.explode(F.slice("common", F.lit(1), F.col("first"))["s"])).drop("common", "first")
-    left = prefix.filter("open").select("c", F.col("id").alias("a"), F.col("n").alias("n1"), F.col("i").alias("i1"), F.col("component").alias("p"), "s")
-    right = prefix.select("c", F.col("id").alias("b"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("component").alias("q"), "s")
-    meet = left.join(right, ["c", "s"]).filter(different).select("c", "a", "n1", "i1", "b", "n2", "i2").distinct()
+    prefix = _numbered(own, F.col("first"), "c", "id", "component", "n", "i", "open")
+    left = prefix.filter("open").select("c", F.col("id").alias("a"), F.col("n").alias("n1"), F.col("i").alias("i1"), F.col("component").alias("p"), F.col("rest").alias("r1"), "s")
+    right = prefix.select("c", F.col("id").alias("b"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("component").alias("q"), F.col("rest").alias("r2"), "s")
+    enough = all_ * (F.least("i1", "i2") + F.least("r1", "r2")) >= t * (F.col("n1") + F.col("n2"))
+    meet = left.join(right, ["c", "s"]).filter(different & enough).select("c", "a", "n1", "i1", "b", "n2", "i2").distinct()
     of = lambda name, n, i, held: own.select("c", F.col("id").alias(name), F.col("n").alias(n), F.col("i").alias(i), F.col("common.s").alias(held))
     shared = (
         meet.join(of("a", "n1", "i1", "sa"), ["c", "a", "n1", "i1"])
@@ -235,6 +238,15 @@ def _near_the_hub(compared: DataFrame, label: DataFrame, threshold: int) -> Data
     return shared.select("a", "b").unionByName(sized.select("a", "b"))
 
 
+def _numbered(own: DataFrame, first: Column, *kept: str) -> DataFrame:
+    """``kept``, ``s``, ``rest``: the first shingles of each list ``common``, and how many the list has from each on, itself included.
+
+    Two lists in one order share no more than the smaller ``rest`` of the first shingle they share.
+    """
+    at = own.select(*kept, F.size("common").alias("rest"), F.posexplode(F.slice("common", F.lit(1), first.cast("int"))).alias("at", "x"))
+    return at.select(*kept, F.col("x.s").alias("s"), (F.col("rest") - F.col("at")).alias("rest"))
+
+
 def _shingles(texts: DataFrame, width: int) -> DataFrame:
     """``id, k, n, s``: each shingle of each text; ``k`` tells texts of one id apart."""
 
@@ -251,15 +263,18 @@ def _shingles(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("id", F.xxhash64("text").alias("k"), "text").mapInArrow(run, f"id {_kind(texts)}, k bigint, n bigint, s bigint")
 
 
-def _far_from_the_hub(open_bands: DataFrame, estimated: DataFrame, compared: DataFrame, label: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
+def _far_from_the_hub(open_bands: DataFrame, estimated: DataFrame, compared: DataFrame, label: DataFrame, sizes: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
     """``a, b``: pairs of different components, one of them far from the hub of a bucket they share, the other not linked to it."""
     distance = estimated.select(F.col("a").alias("centre"), F.col("b").alias("id"), (~F.col("near")).alias("far"))
     linked = compared.filter(_linked(compared, threshold)).select(F.col("a").alias("centre"), F.col("b").alias("id"))
     apart = open_bands.filter("id <> centre").join(distance, ["centre", "id"]).join(linked, ["centre", "id"], "left_anti")
-    apart = apart.join(label, "id", "left").select("key", "id", "far", F.coalesce("component", "id").alias("component"))
+    apart = apart.join(label, "id", "left").select("key", "id", "far", F.coalesce("component", "id").alias("component")).join(sizes, "id")
+    # a bucket's members by size: steps in which a link is too wide for two, each member in its own and the next, so that two that fit meet
+    step = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / threshold + 1e-9)) if threshold < 100 else F.col("n")
+    apart = apart.withColumn("step", F.explode(F.array(step, step + 1))).drop("n")
     # buckets where such a pair can be
-    open_ = apart.groupBy("key").agg(F.bool_or("far").alias("far"), F.min("component").alias("low"), F.max("component").alias("high")).filter("far AND low <> high")
-    members = written(apart.join(open_.select("key"), "key").groupBy("id").agg(F.first("component").alias("component")), "apart")
+    open_ = apart.groupBy("key", "step").agg(F.bool_or("far").alias("far"), F.min("component").alias("low"), F.max("component").alias("high")).filter("far AND low <> high")
+    members = written(apart.join(open_.select("key", "step"), ["key", "step"]).groupBy("id").agg(F.first("component").alias("component")), "apart")
     if members.isEmpty():
         return members.select(F.col("id").alias("a"), F.col("id").alias("b"))
     tokens = written(_shingles(texts.join(members.select("id"), "id", "left_semi"), width).join(members, "id"), "apart-shingles")
@@ -267,11 +282,11 @@ def _far_from_the_hub(open_bands: DataFrame, estimated: DataFrame, compared: Dat
     # a text's shingles that others have too, rare ones first; those of one component stand before them in the order
     own = tokens.join(shared, "s").groupBy("id", "k", "component", "n").agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("common"))
     first = F.col("n") - F.ceil(threshold * F.col("n") / 100).cast("long") + 1 - (F.col("n") - F.size("common"))
-    prefix = own.filter(first > 0).select("id", "component", "n", F.explode(F.slice("common", F.lit(1), first.cast("int"))).alias("x")).select("id", "component", "n", F.col("x.s").alias("s"))
-    left = prefix.select(F.col("id").alias("a"), F.col("component").alias("p"), F.col("n").alias("n1"), "s")
-    right = prefix.select(F.col("id").alias("b"), F.col("component").alias("q"), F.col("n").alias("n2"), "s")
-    fits = (100 + threshold) * F.least("n1", "n2") >= threshold * (F.col("n1") + F.col("n2"))
-    return left.join(right, "s").filter((F.col("a") < F.col("b")) & (F.col("p") != F.col("q")) & fits).select("a", "b")
+    prefix = _numbered(own.filter(first > 0), first, "id", "component", "n")
+    left = prefix.select(F.col("id").alias("a"), F.col("component").alias("p"), F.col("n").alias("n1"), F.col("rest").alias("r1"), "s")
+    right = prefix.select(F.col("id").alias("b"), F.col("component").alias("q"), F.col("n").alias("n2"), F.col("rest").alias("r2"), "s")
+    enough = (100 + threshold) * F.least("n1", "n2", "r1", "r2") >= threshold * (F.col("n1") + F.col("n2"))
+    return left.join(right, "s").filter((F.col("a") < F.col("b")) & (F.col("p") != F.col("q")) & enough).select("a", "b")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: int = 80) -> DataFrame:
@@ -285,14 +300,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = usable.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("rep"))
     # an id with several rows may stand for several classes: the rows are joined by their id
     in_class = usable.join(classes, ["f1", "f2", "n_shingles"])
-    representatives = in_class.filter("id = rep").groupBy("id", "f1", "f2").agg(F.first("regs").alias("regs"))
+    representatives = in_class.filter("id = rep").groupBy("id", "f1", "f2", "n_shingles").agg(F.first("regs").alias("regs"))
     bands = _bands(representatives)
     shared = bands.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members")).filter("low < high")
     members = written(bands.join(shared.select("key", "members"), "key"), "bands")
     degrees = written(members.groupBy("id").agg(F.sum("members").alias("degree")), "degrees")
     wanted = degrees.select("id")
     texts = written(df.select(_id(df, id_col).alias("id"), F.col(f"`{text_col}`").alias("text")).join(wanted, "id", "left_semi"), "texts")
-    regs = written(representatives.join(wanted, "id", "left_semi").select("id", "regs"), "registers")
+    regs = written(representatives.join(wanted, "id", "left_semi").select("id", "regs", F.col("n_shingles").alias("n")), "registers")
+    sizes = regs.select("id", "n").distinct()
 
     # the centre of a bucket is its member with the most company: the original among its near copies
     best = F.min(F.struct((-F.col("degree")).alias("minus"), "id"))
@@ -315,7 +331,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near_hub = compared.join(hub_star.filter("known").select("a", "b"), ["a", "b"], "left_semi").unionByName(more_compared)
     at_hub = hub_star.filter("known IS NOT NULL").select("a", "b", F.col("known").alias("near")).unionByName(more)
     pairs = _near_the_hub(near_hub, label, threshold).unionByName(
-        _far_from_the_hub(around, at_hub, near_hub, label, texts, width, threshold)
+        _far_from_the_hub(around, at_hub, near_hub, label, sizes, texts, width, threshold)
     )
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "remaining")
     if not pairs.isEmpty():

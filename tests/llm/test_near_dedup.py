@@ -163,3 +163,24 @@ def test_clusters_of_one_template_equal_all_pairs(spark, docs):
     for width in (2, 5):
         got = {x["doc_id"]: x["component_id"] for x in near_dedup.near_duplicates(docs(rows), width=width).collect()}
         assert got == plain_components(rows, width)
+
+
+def test_far_members_meet_by_size_and_by_what_is_left_to_share(spark, docs, monkeypatch):
+    """Texts with a half of a template and common words in the rest: few fit each other in size and can still share enough."""
+    r = random.Random(21)
+    template, rows = prose(71, 60).split(), []
+    for i in range(160):
+        own = [f"c{r.randrange(25)}" for _ in range(r.choice([40, 55, 75, 100, 140]))]
+        rows.append((i, " ".join(template + own)))
+    rows += [(500 + k, rows[k][1] + " end") for k in range(10)]
+    counts, written = {}, near_dedup.written
+
+    def spy(df, label):
+        out = written(df, label)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", spy)
+    got = {x["doc_id"]: x["component_id"] for x in near_dedup.near_duplicates(docs(rows), width=2).collect()}
+    assert got == plain_components(rows, 2)
+    assert counts["apart"] > 50 and counts["remaining"] < 3000, (counts["apart"], counts["remaining"])
