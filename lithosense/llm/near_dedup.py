@@ -18,7 +18,8 @@ components are still wanted, and distances to the hub rule most of them out:
   outside of it; the latter is joined shingle by shingle, and near the hub it is rare;
 * one far from the hub, the other linked to it: further apart than a link, as Jaccard
   distance is a metric;
-* one far, the other not linked: all such members go through a prefix filter.  Of sets with
+* one far, the other not linked: where few such members of fitting size meet in a bucket, each is
+  held against each; where many do, they go through a prefix filter.  Of sets with
   similarity t the first ``(1 - t) * n + 1`` shingles share one, in any fixed order; shingles that
   only one component has come first, then rare before common ones.  So members that share
   a template, but have a fifth of their text to themselves, meet nobody.
@@ -49,6 +50,7 @@ from lithosense.llm.words import chunks, mix, shingle_sets
 
 BUCKETS, MANTISSA_BITS = 256, 10
 BANDS, ROWS = 40, 5
+FEW = 8  # members of a bucket, of fitting size, that are held against each other without a look at their shingles
 MARGIN = 0.4  # how far below the threshold an estimate may lie before a pair is given up; half of it is 4 deviations
 
 _PRIORITY = np.argsort(np.random.default_rng(7).random((BUCKETS, BUCKETS)), axis=1).astype(np.uint16)
@@ -271,12 +273,19 @@ def _far_from_the_hub(open_bands: DataFrame, estimated: DataFrame, compared: Dat
     apart = apart.join(label, "id", "left").select("key", "id", "far", F.coalesce("component", "id").alias("component")).join(sizes, "id")
     # a bucket's members by size: steps in which a link is too wide for two, each member in its own and the next, so that two that fit meet
     step = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / threshold + 1e-9)) if threshold < 100 else F.col("n")
-    apart = apart.withColumn("step", F.explode(F.array(step, step + 1))).drop("n")
+    apart = apart.withColumn("step", F.explode(F.array(step, step + 1)))
     # buckets where such a pair can be
-    open_ = apart.groupBy("key", "step").agg(F.bool_or("far").alias("far"), F.min("component").alias("low"), F.max("component").alias("high")).filter("far AND low <> high")
-    members = written(apart.join(open_.select("key", "step"), ["key", "step"]).groupBy("id").agg(F.first("component").alias("component")), "apart")
+    open_ = apart.groupBy("key", "step").agg(F.bool_or("far").alias("far"), F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("met"))
+    apart = written(apart.join(open_.filter("far AND low <> high").select("key", "step", "met"), ["key", "step"]), "apart")
+    all_, whole = 100 + threshold, threshold * (F.col("n1") + F.col("n2"))
+    few = apart.filter(F.col("met") <= FEW)
+    side = lambda name, component, n, far: few.select("key", "step", F.col("id").alias(name), F.col("component").alias(component), F.col("n").alias(n), F.col("far").alias(far))
+    direct = side("a", "p", "n1", "far1").join(side("b", "q", "n2", "far2"), ["key", "step"])
+    direct = direct.filter((F.col("a") < F.col("b")) & (F.col("p") != F.col("q")) & (F.col("far1") | F.col("far2")) & (all_ * F.least("n1", "n2") >= whole)).select("a", "b").distinct()
+    # of larger groups no pairs are listed; only their members' shingles are looked at
+    members = written(apart.filter(F.col("met") > FEW).groupBy("id").agg(F.first("component").alias("component")), "apart-many")
     if members.isEmpty():
-        return members.select(F.col("id").alias("a"), F.col("id").alias("b"))
+        return direct
     tokens = written(_shingles(texts.join(members.select("id"), "id", "left_semi"), width).join(members, "id"), "apart-shingles")
     shared = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("s", "c")
     # a text's shingles that others have too, rare ones first; those of one component stand before them in the order
@@ -285,8 +294,8 @@ def _far_from_the_hub(open_bands: DataFrame, estimated: DataFrame, compared: Dat
     prefix = _numbered(own.filter(first > 0), first, "id", "component", "n")
     left = prefix.select(F.col("id").alias("a"), F.col("component").alias("p"), F.col("n").alias("n1"), F.col("rest").alias("r1"), "s")
     right = prefix.select(F.col("id").alias("b"), F.col("component").alias("q"), F.col("n").alias("n2"), F.col("rest").alias("r2"), "s")
-    enough = (100 + threshold) * F.least("n1", "n2", "r1", "r2") >= threshold * (F.col("n1") + F.col("n2"))
-    return left.join(right, "s").filter((F.col("a") < F.col("b")) & (F.col("p") != F.col("q")) & enough).select("a", "b")
+    enough = all_ * F.least("n1", "n2", "r1", "r2") >= whole
+    return direct.unionByName(left.join(right, "s").filter((F.col("a") < F.col("b")) & (F.col("p") != F.col("q")) & enough).select("a", "b"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: int = 80) -> DataFrame:

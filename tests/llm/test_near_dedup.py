@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lithosense.llm import near_dedup, words
 from lithosense.llm.links import components
@@ -184,3 +185,30 @@ def test_far_members_meet_by_size_and_by_what_is_left_to_share(spark, docs, monk
     got = {x["doc_id"]: x["component_id"] for x in near_dedup.near_duplicates(docs(rows), width=2).collect()}
     assert got == plain_components(rows, 2)
     assert counts["apart"] > 50 and counts["remaining"] < 3000, (counts["apart"], counts["remaining"])
+
+
+def test_texts_that_few_meet_are_not_cut_into_shingles(spark, docs, monkeypatch):
+    """Small groups around many templates, far from their hub: held against each other, and the links are those of all pairs."""
+    r = random.Random(31)
+    rows = []
+    for g in range(40):
+        template = prose(900 + g, 60).split()
+        for k in range(5):
+            text = template + [f"g{g}m{k}w{i}" for i in range(r.choice([12, 25, 40]))]
+            rows.append((len(rows), " ".join(text)))
+            if k % 2:
+                rows.append((len(rows), " ".join([*text, "end"])))
+    met, shingled, written = [], [], near_dedup.written
+
+    def spy(df, label):
+        out = written(df, label)
+        if label == "apart":
+            met.append(out.agg(F.max("met")).first()[0])
+        if label == "apart-shingles":
+            shingled.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", spy)
+    got = {x["doc_id"]: x["component_id"] for x in near_dedup.near_duplicates(docs(rows), width=2).collect()}
+    assert got == plain_components(rows, 2)
+    assert met[0] is not None and met[0] <= near_dedup.FEW and not shingled
